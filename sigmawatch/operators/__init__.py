@@ -1,9 +1,9 @@
 """Batch operators: window statistics, detection shapes, statistics merge, stats attach."""
 
 from .attach import attach_stats, measure
-from .detect import METHODS, detect, flag_counts
+from .detect import METHODS, detect, flag, flag_counts, group_stats
 from .merge import merge_stats
 from .windows import assign_windows, window_stats
 
-__all__ = ["METHODS", "assign_windows", "attach_stats", "detect", "flag_counts", "measure",
-           "merge_stats", "window_stats"]
+__all__ = ["METHODS", "assign_windows", "attach_stats", "detect", "flag", "flag_counts",
+           "group_stats", "measure", "merge_stats", "window_stats"]

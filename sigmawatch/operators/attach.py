@@ -19,6 +19,7 @@ from pyspark.sql import types as T
 from ..session import broadcast_limit
 
 _PREFIX = "__grp_"
+STRATEGIES = ("auto", "broadcast", "shuffle_hash", "shuffle_merge", "shuffle")
 
 
 @dataclass(frozen=True)
@@ -26,11 +27,22 @@ class StatsSize:
     rows: int
     est_bytes: int
     limit: int
+    partitions: int = 1
 
     @property
     def broadcast(self) -> bool:
         return 0 <= self.est_bytes <= self.limit and self.limit >= 0
 
+    @property
+    def strategy(self) -> str:
+        """Broadcast when the whole table fits the threshold; a shuffled hash join when one
+        shuffle partition of it does (Spark's own rule for hash-join builds); else sort-merge,
+        which spills instead of holding a hash table."""
+        if self.broadcast:
+            return "broadcast"
+        per_partition = self.est_bytes / max(1, self.partitions)
+        return "shuffle_hash" if self.limit >= 0 and per_partition <= self.limit else "shuffle_merge"
+
 
 def measure(stats: DataFrame) -> StatsSize:
     """Row count and an UnsafeRow-sized byte estimate of a (persisted) statistics table.
@@ -46,27 +58,37 @@ def measure(stats: DataFrame) -> StatsSize:
     rows = int(row["rows"])
     var_bytes = sum(int(row[f"b{i}"]) for i in range(len(string_cols)))
     fixed = 8 + 8 * len(stats.schema.fields)
-    return StatsSize(rows, rows * fixed + var_bytes, broadcast_limit(stats.sparkSession))
+    spark = stats.sparkSession
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
+    return StatsSize(rows, rows * fixed + var_bytes, broadcast_limit(spark), parts)
 
 
 def attach_stats(readings: DataFrame, stats: DataFrame, on: list[str],
-                 strategy: str = "auto") -> DataFrame:
-    """Inner-join ``stats`` (unique on ``on``) to ``readings``; group keys compare null-safe.
+                 strategy: str = "auto", how: str = "inner") -> DataFrame:
+    """Join ``stats`` (unique on ``on``) to ``readings`` (``inner`` or ``left``); group keys
+    compare null-safe.
 
-    ``strategy``: ``auto`` (measure, then broadcast or shuffle), ``broadcast`` or ``shuffle``.
+    ``strategy``: ``auto`` (measure, then broadcast, shuffled hash or sort-merge join; see
+    :attr:`StatsSize.strategy`), or one of those forced: ``broadcast``, ``shuffle_hash``,
+    ``shuffle_merge`` (``shuffle`` is sort-merge). The shuffle joins are hinted so the planner
+    does not broadcast on its own estimate; adaptive execution splits skewed partitions.
     Duplicated readings stay duplicated: the statistics are unique on the join columns.
     """
-    if strategy not in ("auto", "broadcast", "shuffle"):
+    if strategy not in STRATEGIES:
         raise ValueError(f"unknown strategy {strategy!r}")
     if readings.isStreaming or stats.isStreaming:
         raise ValueError("attach_stats is the batch path; streams use sigmawatch.streaming")
+    if strategy == "auto" and not stats.is_cached:
+        # Materialise the statistics once: the size check and the join read the same rows.
+        stats = stats.persist(StorageLevel.MEMORY_AND_DISK)
     renamed = stats.select(*[F.col(c).alias(_PREFIX + c) for c in on],
                            *[c for c in stats.columns if c not in on])
     if strategy == "auto":
-        # Materialise the statistics once: the size check and the join then read the same rows.
-        renamed = renamed.persist(StorageLevel.MEMORY_AND_DISK)
-        strategy = "broadcast" if measure(renamed).broadcast else "shuffle"
-    side = F.broadcast(renamed) if strategy == "broadcast" else renamed
+        strategy = measure(renamed).strategy
+    if strategy == "broadcast":
+        side = F.broadcast(renamed)
+    else:
+        side = renamed.hint("shuffle_hash" if strategy == "shuffle_hash" else "shuffle_merge")
     cond = reduce(lambda a, b: a & b,
                   [readings[c].eqNullSafe(side[_PREFIX + c]) for c in on])
-    return readings.join(side, cond, "inner").drop(*[_PREFIX + c for c in on])
+    return readings.join(side, cond, how).drop(*[_PREFIX + c for c in on])

@@ -16,6 +16,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -28,6 +29,36 @@ from .windows import as_keys, assign_windows, check_columns
 METHODS = ("incremental", "two_pass")
 
 
+def group_stats(base: DataFrame, group: list[str], value_col: str, method: str = "incremental",
+                stats_join: str = "auto") -> DataFrame:
+    """``n, mean, stddev, lo, hi`` per group of a windowed reading table, by either shape."""
+    if method not in METHODS:
+        raise ValueError(f"method must be one of {METHODS}")
+    if method == "incremental":
+        return base.groupBy(*group).agg(*moment_aggs(value_col)).drop(M2)
+    v = F.col(value_col)
+    means = base.groupBy(*group).agg(
+        F.count(v).alias(N), F.avg(v).alias(MEAN), F.min(v).alias(LO), F.max(v).alias(HI))
+    means = means.persist(StorageLevel.MEMORY_AND_DISK)
+    # Pass 2 reads the readings again with their group's mean attached.
+    with_mean = attach_stats(base.select(*group, value_col), means, group, stats_join)
+    deviation = F.col(value_col) - F.col(MEAN)
+    squares = with_mean.groupBy(*group).agg(F.sum(deviation * deviation).alias("__ss"))
+    return (attach_stats(means, squares, group, stats_join)
+            .withColumn(STDDEV, F.sqrt(F.col("__ss") / F.col(N)))
+            .drop("__ss"))
+
+
+def flag(base: DataFrame, stats: DataFrame, group: list[str], value_col: str, k: float,
+         stats_join: str = "auto", keep_all: bool = False) -> DataFrame:
+    """Readings of ``base`` with their group's statistics; only outliers unless ``keep_all``
+    (then an ``is_outlier`` column marks them)."""
+    if keep_all:
+        joined = attach_stats(base, stats, group, stats_join)
+        return joined.withColumn("is_outlier", is_outlier(value_col, k))
+    return attach_stats(base, stats, group, stats_join).filter(is_outlier(value_col, k))
+
+
 def detect(df: DataFrame, keys: str | Sequence[str], time_col: str, value_col: str,
            window: str = "1 minute", k: float = DEFAULT_K, method: str = "incremental",
            stats_join: str = "auto") -> DataFrame:
@@ -36,39 +67,25 @@ def detect(df: DataFrame, keys: str | Sequence[str], time_col: str, value_col: s
     Returns every input column of the flagged rows plus ``window_start, window_end, n, mean,
     stddev``. A window with fewer than two readings or with all readings equal flags nothing;
     a reading is part of its own baseline; duplicates count and are reported each time.
+
+    ``stats_join`` picks how statistics meet readings (see :func:`attach_stats`): ``auto``
+    measures the statistics and broadcasts them only when they fit the session's threshold.
     """
-    if method not in METHODS:
-        raise ValueError(f"method must be one of {METHODS}")
+    base, group = _prepare(df, keys, time_col, value_col, window, k)
+    stats = group_stats(base, group, value_col, method, stats_join)
+    joined = flag(base, stats, group, value_col, k, stats_join)
+    return (joined.select(*df.columns, *[c for c in joined.columns if c not in df.columns])
+            .drop(LO, HI))
+
+
+def _prepare(df: DataFrame, keys, time_col: str, value_col: str, window: str, k: float):
     if df.isStreaming:
         raise ValueError("streaming input: use sigmawatch.streaming.detect_stream")
     ks = as_keys(keys)
     check_columns(df, ks, time_col, value_col)
     if not float(k) >= 0:
         raise ValueError("k must be a non-negative number")
-    base = assign_windows(df, time_col, window)
-    group = [*ks, WINDOW_START]
-    if method == "incremental":
-        stats = base.groupBy(*group).agg(*moment_aggs(value_col)).drop(M2)
-    else:
-        stats = _two_pass_stats(base, group, value_col, stats_join)
-    joined = attach_stats(base, stats, group, stats_join)
-    return (joined.filter(is_outlier(value_col, k))
-            .select(*df.columns, *[c for c in joined.columns if c not in df.columns])
-            .drop(LO, HI))
-
-
-def _two_pass_stats(base: DataFrame, group: list[str], value_col: str, stats_join: str) -> DataFrame:
-    v = F.col(value_col)
-    means = base.groupBy(*group).agg(
-        F.count(v).alias(N), F.avg(v).alias(MEAN), F.min(v).alias(LO), F.max(v).alias(HI))
-    # Pass 2 reads the readings again with their group's mean attached.
-    with_mean = attach_stats(base.select(*group, value_col), means.select(*group, MEAN),
-                             group, stats_join)
-    deviation = F.col(value_col) - F.col(MEAN)
-    squares = with_mean.groupBy(*group).agg(F.sum(deviation * deviation).alias("__ss"))
-    return (means.join(squares, group, "inner")
-            .withColumn(STDDEV, F.sqrt(F.col("__ss") / F.col(N)))
-            .drop("__ss"))
+    return assign_windows(df, time_col, window), [*ks, WINDOW_START]
 
 
 def flag_counts(df: DataFrame, keys: str | Sequence[str], time_col: str, value_col: str,
@@ -76,16 +93,12 @@ def flag_counts(df: DataFrame, keys: str | Sequence[str], time_col: str, value_c
                 method: str = "incremental") -> DataFrame:
     """Per (keys, window): reading count and number of flagged readings (0 where none).
 
-    Counts the (few) flagged rows and joins them to the window statistics; the readings are
-    not shuffled a second time.
+    The statistics are computed once; the (few) flagged rows are counted per group and joined
+    back to them, so the readings are read twice and never shuffled for the counting.
     """
-    from .windows import window_stats
-
-    ks = as_keys(keys)
-    stats = window_stats(df, ks, time_col, value_col, window).select(*ks, WINDOW_START, N)
-    flagged = (detect(df, ks, time_col, value_col, window, k, method)
-               .groupBy(*ks, WINDOW_START).agg(F.count(F.lit(1)).alias("n_flagged")))
-    cond = [stats[c].eqNullSafe(flagged[c]) for c in [*ks, WINDOW_START]]
-    out = stats.join(flagged, cond, "left")
-    return out.select(*[stats[c] for c in [*ks, WINDOW_START, N]],
-                      F.coalesce(flagged["n_flagged"], F.lit(0)).alias("n_flagged"))
+    base, group = _prepare(df, keys, time_col, value_col, window, k)
+    stats = group_stats(base, group, value_col, method).persist(StorageLevel.MEMORY_AND_DISK)
+    flagged = (flag(base, stats, group, value_col, k)
+               .groupBy(*group).agg(F.count(F.lit(1)).alias("n_flagged")))
+    out = attach_stats(stats.select(*group, N), flagged, group, how="left")
+    return out.select(*group, N, F.coalesce(F.col("n_flagged"), F.lit(0)).alias("n_flagged"))

@@ -34,6 +34,23 @@ def test_threshold_off_means_shuffle_join(spark):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
 
 
+def test_join_strategy_rule():
+    from sigmawatch.operators.attach import StatsSize
+    assert StatsSize(10, 1_000, 10_000, 8).strategy == "broadcast"
+    assert StatsSize(10, 50_000, 10_000, 8).strategy == "shuffle_hash"     # 6.25 KB a partition
+    assert StatsSize(10, 500_000, 10_000, 8).strategy == "shuffle_merge"
+    assert StatsSize(10, 1_000, -1, 8).strategy == "shuffle_merge"         # broadcast disabled
+
+
+@pytest.mark.parametrize("how", ["shuffle_hash", "shuffle_merge"])
+def test_forced_shuffle_joins_are_not_broadcast(spark, how):
+    found = detect(readings_df(spark, sample_rows()), "deviceId", "ts", "temperatureC", stats_join=how)
+    assert found.count() == 1
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" not in plan
+    assert ("ShuffledHashJoin" if how == "shuffle_hash" else "SortMergeJoin") in plan
+
+
 def test_measure_counts_string_bytes(spark):
     df = spark.createDataFrame([("abcd", 1), ("ef", 2)], "k string, v long")
     size = measure(df)
@@ -60,3 +77,47 @@ def test_entry_contract(spark):
 def test_queries_run_on_smallest_tables(spark, name):
     entry = importlib.import_module("__spark_entry__")
     assert entry.queries()[name](spark, SF_SMALL).count() >= 0
+
+
+def test_hot_group_is_split_by_adaptive_skew_join(spark):
+    """One (key, window) holds well over a third of all readings; on the shuffle path adaptive
+    execution splits its partition into several tasks, and the answer is unchanged."""
+    from pyspark.sql import functions as F
+    from test_detect import brute_force
+
+    from sigmawatch.sources.readings import with_event_time
+
+    hot = spark.range(0, 60_000).select(
+        F.lit("hot").alias("deviceId"),
+        (F.lit(20.0) + (F.col("id") % 7) * 0.1 + F.when(F.col("id") == 777, 50.0).otherwise(0.0))
+        .alias("temperatureC"),
+        (F.col("id") % 60_000).alias("timestampMillis"))
+    cold = spark.range(0, 40_000).select(
+        F.concat(F.lit("c"), (F.col("id") % 400).cast("string")).alias("deviceId"),
+        (F.lit(10.0) + (F.col("id") % 5) * 0.2).alias("temperatureC"),
+        (F.col("id") % 60_000).alias("timestampMillis"))
+    readings = with_event_time(hot.unionByName(cold)).repartition(16)
+    conf = {
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "64KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64KB",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+    }
+    old = {k: spark.conf.get(k, None) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        found = detect(readings, "deviceId", "ts", "temperatureC", "1 minute", stats_join="shuffle")
+        picked = found.select("deviceId", "temperatureC", "timestampMillis")
+        rows = sorted(tuple(r) for r in picked.collect())
+        plan = picked._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in old.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
+    assert "skew=true" in plan
+    local = [tuple(r) for r in readings.select("deviceId", "temperatureC", "timestampMillis").collect()]
+    assert rows == brute_force(local, 60_000, 3.0) and len(rows) >= 1
