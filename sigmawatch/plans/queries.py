@@ -22,8 +22,9 @@ from ..operators.windows import window_stats
 from ..session import scratch_path
 from ..sinks.lines import LINE, with_lines
 from ..sources.generator import generate_for_devices
+from ..sources.java_random import generate_java_for_devices
 from ..sources.readings import read_jsonl, to_readings, write_jsonl
-from ..streaming.detect_stream import detect_stream, start_to_files
+from ..streaming.detect_stream import detect_stream, start_to_files, window_stats_stream
 from .archive import archive_readings, replay
 
 ANOMALY_COLS = ["event_type", WINDOW_START, "event_id", "ts", "value", N]
@@ -103,18 +104,44 @@ def generated_anomalies_q(spark: SparkSession, sf_dir: str) -> DataFrame:
                         (F.col("temperatureC") > 50).alias("is_spike"))
 
 
-def stream_anomalies_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _events_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The events table as a file stream: written once to the shared folder, then read back."""
     ev = _events(spark, sf_dir).select("event_id", "ts", "event_type", "value")
     src = scratch_path(spark, "stream-in")
     ev.write.parquet(src)
-    stream = spark.readStream.schema(ev.schema).parquet(src)
-    found = detect_stream(stream, "event_type", "ts", "value", "1 day", 3.0, "1 second")
+    return spark.readStream.schema(ev.schema).parquet(src)
+
+
+def _run_to_table(spark: SparkSession, stream: DataFrame) -> DataFrame:
     sink, ckpt = scratch_path(spark, "stream-out"), scratch_path(spark, "stream-ckpt")
-    query = start_to_files(found.select(*ANOMALY_COLS), sink, ckpt)
+    query = start_to_files(stream, sink, ckpt)
     query.awaitTermination()
     if query.exception() is not None:
         raise RuntimeError(str(query.exception()))
-    return spark.read.schema(found.select(*ANOMALY_COLS).schema).parquet(sink)
+    return spark.read.schema(stream.schema).parquet(sink)
+
+
+def stream_anomalies_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = detect_stream(_events_stream(spark, sf_dir), "event_type", "ts", "value", "1 day", 3.0,
+                          "1 second")
+    return _run_to_table(spark, found.select(*ANOMALY_COLS))
+
+
+def stream_window_stats_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    st = window_stats_stream(_events_stream(spark, sf_dir), "event_type", "ts", "value", "1 day",
+                             "1 second")
+    table = _run_to_table(spark, st)
+    return table.select("event_type", WINDOW_START, WINDOW_END, N, F.round(MEAN, 6).alias(MEAN),
+                        F.round(STDDEV, 6).alias(STDDEV), "lo", "hi")
+
+
+def generated_java_anomalies_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Detection on the reference's exact random stream, for the devices of ``events``."""
+    g = generate_java_for_devices(_devices(spark, sf_dir), per_device=15, window_ms=10_000,
+                                  windows=2, p=0.3, seed=42)
+    g = g.withColumn("ts", F.timestamp_millis("timestampMillis"))
+    found = detect(g, "deviceId", "ts", "temperatureC", "10 seconds", 3.0)
+    return with_lines(found).select("deviceId", "timestampMillis", LINE)
 
 
 def replay_backfill_q(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -131,6 +158,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "anomalies_weekly": _anomalies("event_type", "7 days", 3.0),
     "anomalies_by_user": _anomalies("user_id", "7 days", 3.0),
     "anomalies_sigma2": _anomalies("event_type", "1 day", 2.0),
+    "anomalies_hourly": _anomalies("event_type", "1 hour", 3.0),
     "window_stats": window_stats_q,
     "merge_stats": merge_stats_q,
     "constant_guard": constant_guard_q,
@@ -138,7 +166,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "readings_parse": readings_parse_q,
     "generate_profile": generate_profile_q,
     "generated_anomalies": generated_anomalies_q,
+    "generated_java_anomalies": generated_java_anomalies_q,
     "stream_anomalies": stream_anomalies_q,
+    "stream_window_stats": stream_window_stats_q,
     "replay_backfill": replay_backfill_q,
 }
 
@@ -180,6 +210,7 @@ ORACLE_SQL: dict[str, str] = {
     "anomalies_weekly": _anomaly_sql("event_type", "7 days", 3.0),
     "anomalies_by_user": _anomaly_sql("user_id", "7 days", 3.0),
     "anomalies_sigma2": _anomaly_sql("event_type", "1 day", 2.0),
+    "anomalies_hourly": _anomaly_sql("event_type", "1 hour", 3.0),
     "window_stats": _stats_sql("1 day"),
     "merge_stats": _stats_sql("7 days"),
     "constant_guard": f"""
@@ -225,6 +256,10 @@ FROM (SELECT DISTINCT user_id FROM events) u, range(3) w(w)
         "event_type", "1 day", 3.0,
         extra="AND b.window_start + INTERVAL '1 day' <= "
               "(SELECT max(ts) FROM events) - INTERVAL '1 second'"),
+    "stream_window_stats": f"""
+SELECT * FROM ({_stats_sql("1 day")}) s
+WHERE s.window_end <= (SELECT max(ts) FROM events) - INTERVAL '1 second'
+""",
     "replay_backfill": _anomaly_sql(
         "event_type", "1 day", 2.5,
         where="WHERE ts >= TIMESTAMP '2024-01-08 00:00:00' AND ts < TIMESTAMP '2024-01-22 00:00:00'"),

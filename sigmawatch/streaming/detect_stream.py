@@ -55,13 +55,20 @@ def _as_ntz(c: Column) -> Column:
 def window_stats_stream(readings: DataFrame, keys: str | Sequence[str], time_col: str,
                         value_col: str, window: str = "1 minute",
                         delay: str = DEFAULT_DELAY) -> DataFrame:
-    """Per (keys, window) moments of a stream, one row per window after it closes."""
+    """Per (keys, window) moments of a stream, one row per window after it closes; columns as
+    :func:`sigmawatch.operators.window_stats` (``keys, window_start, window_end, n, mean, ...``).
+    The state is one partial-moment buffer per open group, whatever the number of readings."""
     ks = as_keys(keys)
     check_columns(readings, ks, time_col, value_col)
-    df, et, _ = _event_time(readings, time_col)
+    df, et, ntz = _event_time(readings, time_col)
     df = df.withWatermark(et, delay)
     w = tumbling_window(et, window).alias("__swin")
-    return df.groupBy(w, *[F.col(c) for c in ks]).agg(*moment_aggs(value_col))
+    stats = df.groupBy(w, *[F.col(c) for c in ks]).agg(*moment_aggs(value_col))
+    start, end = F.col("__swin.start"), F.col("__swin.end")
+    if ntz:
+        start, end = _as_ntz(start), _as_ntz(end)
+    return stats.select(*ks, start.alias(WINDOW_START), end.alias(WINDOW_END),
+                        *[c for c in stats.columns if c != "__swin" and c not in ks])
 
 
 def detect_stream(readings: DataFrame, keys: str | Sequence[str], time_col: str, value_col: str,

@@ -210,3 +210,24 @@ def test_readings_of_java_stream_are_reused_by_detection(spark):
     b = with_lines(anomalies_of_readings(r, "1 minute", 3.0, "two_pass")).select(LINE)
     assert sorted(a.collect()) == sorted(b.collect())
     r.unpersist()
+
+
+def test_generated_java_query_equals_brute_force(spark):
+    """The rows-only registered query, checked against plain Python on the smallest tables."""
+    import duckdb
+    from conftest import SF_SMALL
+    from test_detect import brute_force
+
+    from sigmawatch.plans.queries import QUERIES
+    from sigmawatch.sources.java_random import device_readings
+
+    users = [u for (u,) in duckdb.connect().execute(
+        f"SELECT DISTINCT user_id FROM '{SF_SMALL}/events.parquet'").fetchall()]
+    rows = []
+    for u in users:
+        ids, temps, times = device_readings(int(u), 15, 10_000, 2, 0.3, 42)
+        rows += list(zip(ids, temps, times))
+    expected = sorted((d, ms) for d, _, ms in brute_force(rows, 10_000, 3.0))
+    got = sorted((r.deviceId, r.timestampMillis)
+                 for r in QUERIES["generated_java_anomalies"](spark, SF_SMALL).collect())
+    assert got == expected and len(expected) > 0
