@@ -61,7 +61,7 @@ def with_event_time(readings: DataFrame, millis_col: str = "timestampMillis") ->
 
 def read_jsonl(spark: SparkSession, path: str, strict: bool = True) -> DataFrame:
     """Batch read of JSON-lines reading files (splittable text source, any Hadoop path/glob)."""
-    lines = spark.read.text(path).withColumn("__file", F.input_file_name())
+    lines = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("__file"))
     return parse_lines(lines, strict=strict)
 
 
@@ -71,7 +71,7 @@ def read_jsonl_stream(spark: SparkSession, path: str, strict: bool = True,
     reader = spark.readStream.format("text")
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", int(max_files_per_trigger))
-    lines = reader.load(path).withColumn("__file", F.input_file_name())
+    lines = reader.load(path).select("value", F.col("_metadata.file_path").alias("__file"))
     return parse_lines(lines, strict=strict)
 
 
