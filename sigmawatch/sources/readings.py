@@ -40,7 +40,11 @@ def parse_lines(lines: DataFrame, line_col: str = "value", strict: bool = True)
     is_data = (F.length("__line") > 0) & ~F.col("__line").startswith("#")
     parsed = F.from_json(F.when(is_data, F.col("__line")), READING_SCHEMA,
                          {"mode": "PERMISSIVE", "allowNonNumericNumbers": "false"})
-    rows = base.filter(is_data).withColumn("__r", parsed)
+    # Parse once: behind a Generate, Catalyst cannot inline from_json into every field reference
+    # and into the pushed-down check (it would otherwise parse each line six times).
+    rows = base.filter(is_data).select(
+        "__line", *(["__file"] if has_file else []),
+        F.inline(F.array(F.struct(parsed.alias("__r")))))
     value = F.col("__r.temperatureC")
     ok = (F.col("__r.deviceId").isNotNull() & value.isNotNull()
           & F.col("__r.timestampMillis").isNotNull()
