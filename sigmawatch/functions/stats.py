@@ -61,6 +61,23 @@ def is_outlier(value_col: str | Column, k: float = DEFAULT_K,
     )
 
 
+def group_can_flag(k: float = DEFAULT_K, n: str | Column = N, mean: str | Column = MEAN,
+                   stddev: str | Column = STDDEV, lo: str | Column = LO,
+                   hi: str | Column = HI) -> Column:
+    """True exactly for the groups holding at least one outlier, from their statistics alone.
+
+    The reading farthest from the mean is the minimum or the maximum, and floating-point
+    subtraction is monotone, so ``|x - mean| <= max(|hi - mean|, |lo - mean|)`` holds as
+    computed for every ``x`` in ``[lo, hi]``: testing the two extremes with the same expression
+    as :func:`is_outlier` decides the group exactly. Groups failing it need not meet their
+    readings at all.
+    """
+    limit = F.lit(float(k)) * col_of(stddev)
+    m = col_of(mean)
+    return ((col_of(n) >= F.lit(MIN_READINGS)) & (col_of(hi) > col_of(lo))
+            & ((F.abs(col_of(hi) - m) > limit) | (F.abs(col_of(lo) - m) > limit)))
+
+
 def merged_moments(n: str | Column, mean: str | Column, m2: str | Column,
                    total_n: Column, total_mean: Column) -> tuple[Column, Column]:
     """Pieces of Chan's merge of partial moments, to be summed over the parts of a group.

@@ -27,7 +27,8 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from ..functions.stats import (
-    DEFAULT_K, HI, LO, M2, WINDOW_END, WINDOW_START, is_outlier, moment_aggs, tumbling_window,
+    DEFAULT_K, HI, LO, M2, WINDOW_END, WINDOW_START, group_can_flag, is_outlier, moment_aggs,
+    tumbling_window,
 )
 from ..operators.windows import as_keys, check_columns
 
@@ -88,7 +89,8 @@ def detect_stream(readings: DataFrame, keys: str | Sequence[str], time_col: str,
     left = df.withColumn("__win", tumbling_window(et, window))
     stats = (df.groupBy(tumbling_window(et, window).alias("__swin"),
                         *[F.col(c).alias(f"__s_{c}") for c in ks])
-             .agg(*moment_aggs(value_col)).drop(M2))
+             .agg(*moment_aggs(value_col)).drop(M2)
+             .filter(group_can_flag(k)))
     cond = reduce(lambda a, b: a & b,
                   [left["__win"] == stats["__swin"]]
                   + [left[c] == stats[f"__s_{c}"] for c in ks])

@@ -147,3 +147,28 @@ def test_rejects_bad_arguments(spark):
         detect(df, "deviceId", "ts", "temperatureC", method="nope")
     with pytest.raises(ValueError):
         detect(df.withColumn("n", F.lit(1)), "deviceId", "ts", "temperatureC")
+
+
+def test_group_filter_is_exact(spark):
+    """``group_can_flag`` is true exactly for the groups where some reading is flagged."""
+    from sigmawatch.functions.stats import group_can_flag, is_outlier
+    from sigmawatch.operators.detect import group_stats
+    from sigmawatch.operators.windows import assign_windows
+
+    rnd = random.Random(11)
+    rows = []
+    for d in range(60):
+        base, spread = rnd.uniform(-50, 50), rnd.choice([0.0, 0.01, 1.0, 100.0])
+        for i in range(rnd.choice([1, 2, 5, 10, 11, 30])):
+            x = base + rnd.gauss(0, spread) if spread else base
+            if rnd.random() < 0.1:
+                x += rnd.choice([-1, 1]) * spread * rnd.uniform(2, 6)
+            rows.append((f"g{d}", round(x, 4), i))
+    base = assign_windows(readings_df(spark, rows), "ts", "1 minute")
+    group = ["deviceId", "window_start"]
+    for k in (1.0, 2.0, 3.0):
+        stats = group_stats(base, group, "temperatureC")
+        predicted = {r.deviceId for r in stats.filter(group_can_flag(k)).collect()}
+        joined = base.join(stats, group)
+        actual = {r.deviceId for r in joined.filter(is_outlier("temperatureC", k)).collect()}
+        assert predicted == actual
