@@ -37,11 +37,14 @@ DEFAULT_DELAY = "1 second"
 
 
 def _event_time(df: DataFrame, time_col: str) -> tuple[DataFrame, str, bool]:
-    """Event time as a TIMESTAMP column. TIMESTAMP_NTZ is read as UTC wall-clock time, so
-    windows stay aligned to the same boundaries as the batch path whatever the session zone."""
+    """A private TIMESTAMP copy of the event time, ``__et``, to carry the watermark.
+
+    The caller's own time column stays a plain column, so a stream may select it next to the
+    window without holding two event-time columns. TIMESTAMP_NTZ is read as UTC wall-clock
+    time, so windows align with the batch path whatever the session zone."""
     dtype = df.schema[time_col].dataType
     if isinstance(dtype, T.TimestampType):
-        return df, time_col, False
+        return df.withColumn("__et", F.col(time_col)), "__et", False
     if isinstance(dtype, T.TimestampNTZType):
         micros = F.timestamp_diff("MICROSECOND", F.expr(_EPOCH_NTZ), F.col(time_col))
         return df.withColumn("__et", F.timestamp_micros(micros)), "__et", True
@@ -93,7 +96,7 @@ def detect_stream(readings: DataFrame, keys: str | Sequence[str], time_col: str,
              .filter(group_can_flag(k)))
     cond = reduce(lambda a, b: a & b,
                   [left["__win"] == stats["__swin"]]
-                  + [left[c] == stats[f"__s_{c}"] for c in ks])
+                  + [left[c].eqNullSafe(stats[f"__s_{c}"]) for c in ks])
     joined = left.join(stats, cond, "inner").filter(is_outlier(value_col, k))
     start, end = F.col("__win.start"), F.col("__win.end")
     if ntz:

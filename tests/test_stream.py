@@ -130,3 +130,25 @@ def test_batch_input_rejected(spark):
     from conftest import readings_df
     with pytest.raises(ValueError):
         detect_stream(readings_df(spark, sample_rows()), "deviceId", "ts", "temperatureC")
+
+
+def test_stream_keeps_time_column_and_null_keys(spark):
+    """Every input column (the event time included) can be selected from the stream's output,
+    and a null key is a group like any other, as in batch."""
+    import json
+
+    root = fresh_dir("sw-nk-")
+    src = os.path.join(root, "in")
+    os.makedirs(src)
+    rows = [{"site": None, "v": 20.0 + 0.1 * (i % 2), "ms": i} for i in range(20)]
+    rows += [{"site": None, "v": 70.0, "ms": 50}, {"site": "x", "v": 1.0, "ms": 200_000}]
+    with open(os.path.join(src, "a.json"), "w") as f:
+        f.write("".join(json.dumps(r) + "\n" for r in rows))
+    stream = (spark.readStream.schema("site string, v double, ms long").json(src)
+              .withColumn("ts", F.timestamp_millis("ms")))
+    found = detect_stream(stream, "site", "ts", "v")
+    q = start_to_files(found, os.path.join(root, "out"), os.path.join(root, "ck"))
+    q.awaitTermination()
+    got = spark.read.parquet(os.path.join(root, "out")).collect()
+    assert [(r.site, r.v, r.ms, r.n) for r in got] == [(None, 70.0, 50, 21)]
+    assert got[0].ts is not None and got[0].window_start is not None
