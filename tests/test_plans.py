@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import importlib
-
 import pytest
 from conftest import SF_SMALL, readings_df, sample_rows
 
@@ -64,21 +62,6 @@ def test_scan_is_pruned(spark):
     assert "props" not in plan and "user_id" not in plan
 
 
-def test_entry_contract(spark):
-    entry = importlib.import_module("__spark_entry__")
-    df = entry.entry(spark)
-    assert df.count() > 0
-    assert set(entry.queries()) >= set(entry.oracle_sql())
-    for name in entry.queries():
-        assert name.isidentifier()
-
-
-@pytest.mark.parametrize("name", ["anomalies_incremental", "window_stats", "generate_profile"])
-def test_queries_run_on_smallest_tables(spark, name):
-    entry = importlib.import_module("__spark_entry__")
-    assert entry.queries()[name](spark, SF_SMALL).count() >= 0
-
-
 def test_hot_group_is_split_by_adaptive_skew_join(spark):
     """One (key, window) holds well over a third of all readings; on the shuffle path adaptive
     execution splits its partition into several tasks, and the answer is unchanged."""
