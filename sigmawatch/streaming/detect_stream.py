@@ -34,6 +34,7 @@ from ..operators.windows import as_keys, check_columns
 
 _EPOCH_NTZ = "TIMESTAMP_NTZ'1970-01-01 00:00:00'"
 DEFAULT_DELAY = "1 second"
+DEFAULT_SALT = 8
 
 
 def _event_time(df: DataFrame, time_col: str) -> tuple[DataFrame, str, bool]:
@@ -77,25 +78,35 @@ def window_stats_stream(readings: DataFrame, keys: str | Sequence[str], time_col
 
 def detect_stream(readings: DataFrame, keys: str | Sequence[str], time_col: str, value_col: str,
                   window: str = "1 minute", k: float = DEFAULT_K,
-                  delay: str = DEFAULT_DELAY) -> DataFrame:
+                  delay: str = DEFAULT_DELAY, salt_buckets: int = DEFAULT_SALT) -> DataFrame:
     """Streaming twin of :func:`sigmawatch.operators.detect` (append mode).
 
     Returns the input columns of flagged readings plus ``window_start, window_end, n, mean,
     stddev``; for TIMESTAMP_NTZ event time the window bounds are TIMESTAMP_NTZ as in batch.
+
+    ``salt_buckets``: the readings wait in the join state under (keys, window, salt), the salt
+    a hash of the reading's columns, and each statistics row (one per group) is copied to every
+    salt. A hot group's buffered readings therefore spread over that many state partitions
+    instead of one; the output is the same for any value.
     """
     if not readings.isStreaming:
         raise ValueError("batch input: use sigmawatch.operators.detect")
+    if int(salt_buckets) < 1:
+        raise ValueError("salt_buckets must be >= 1")
     ks = as_keys(keys)
     check_columns(readings, ks, time_col, value_col)
     df, et, ntz = _event_time(readings, time_col)
     df = df.withWatermark(et, delay)
-    left = df.withColumn("__win", tumbling_window(et, window))
+    salt = F.pmod(F.xxhash64(*[F.col(c) for c in readings.columns]), F.lit(int(salt_buckets)))
+    left = df.withColumn("__win", tumbling_window(et, window)).withColumn("__salt", salt)
     stats = (df.groupBy(tumbling_window(et, window).alias("__swin"),
                         *[F.col(c).alias(f"__s_{c}") for c in ks])
              .agg(*moment_aggs(value_col)).drop(M2)
-             .filter(group_can_flag(k)))
+             .filter(group_can_flag(k))
+             .withColumn("__s_salt", F.explode(F.sequence(F.lit(0).cast("long"),
+                                                          F.lit(int(salt_buckets) - 1).cast("long")))))
     cond = reduce(lambda a, b: a & b,
-                  [left["__win"] == stats["__swin"]]
+                  [left["__win"] == stats["__swin"], left["__salt"] == stats["__s_salt"]]
                   + [left[c].eqNullSafe(stats[f"__s_{c}"]) for c in ks])
     joined = left.join(stats, cond, "inner").filter(is_outlier(value_col, k))
     start, end = F.col("__win.start"), F.col("__win.end")
