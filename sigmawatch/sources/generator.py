@@ -27,6 +27,7 @@ SPIKE_OFFSET_C = 60.0
 DEFAULT_SEED = 42
 
 READING_COLUMNS = ("deviceId", "temperatureC", "timestampMillis")
+ROWS_PER_PARTITION = 8_000_000
 
 _TWO_POW_M53 = 2.0 ** -53
 # Salts keep the hash streams of different draws apart.
@@ -75,14 +76,16 @@ def readings_for(index: DataFrame, per_device: int, window_ms: int, seed: int, p
 def generate_readings(spark: SparkSession, devices: int, per_device: int, window_ms: int,
                       windows: int = 1, p: float = 0.02, seed: int = DEFAULT_SEED,
                       partitions: int | None = None) -> DataFrame:
-    """``devices * windows * per_device`` readings, ``partitions`` ways (default: parallelism).
+    """``devices * windows * per_device`` readings in ``partitions`` tasks.
 
-    Row ``r`` of ``spark.range`` decodes to (device, window, i), so every task generates a
+    By default, at least the cluster's parallelism and at most ``ROWS_PER_PARTITION`` rows per
+    task. Row ``r`` of ``spark.range`` decodes to (device, window, i), so every task generates a
     contiguous slice; nothing is collected or shipped from the driver.
     """
     check_params(per_device, window_ms, windows, p, devices)
     total = int(devices) * int(windows) * int(per_device)
-    parts = partitions or spark.sparkContext.defaultParallelism
+    parts = partitions or max(spark.sparkContext.defaultParallelism,
+                              -(-total // ROWS_PER_PARTITION))
     per_dev_rows = int(windows) * int(per_device)
     r = F.col("id")
     index = spark.range(0, total, 1, parts).select(
