@@ -32,7 +32,10 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.driver.memory", "16g")
+        # Streaming state in RocksDB (spills to disk, changelog commits); join state format 3
+        # keeps both of a join side's stores in one RocksDB instance per partition.
         .config("spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled", "true")
+        .config("spark.sql.streaming.join.stateFormatVersion", "3")
         .config("spark.sql.streaming.stateStore.providerClass",
                 "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
     )
