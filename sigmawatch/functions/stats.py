@@ -49,6 +49,13 @@ def moment_aggs(value_col: str | Column) -> list[Column]:
     ]
 
 
+def deviates(value_col: str | Column, k: float = DEFAULT_K, mean: str | Column = MEAN,
+             stddev: str | Column = STDDEV) -> Column:
+    """``|x - mean| > k * stddev``: the per-reading part of :func:`is_outlier`, for readings of
+    groups that already passed :func:`group_can_flag`."""
+    return F.abs(col_of(value_col) - col_of(mean)) > F.lit(float(k)) * col_of(stddev)
+
+
 def is_outlier(value_col: str | Column, k: float = DEFAULT_K,
                n: str | Column = N, mean: str | Column = MEAN, stddev: str | Column = STDDEV,
                lo: str | Column = LO, hi: str | Column = HI) -> Column:

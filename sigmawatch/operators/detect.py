@@ -21,7 +21,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.stats import (
-    DEFAULT_K, HI, LO, M2, MEAN, N, STDDEV, WINDOW_START, group_can_flag, is_outlier, moment_aggs,
+    DEFAULT_K, HI, LO, M2, MEAN, N, STDDEV, WINDOW_START, deviates, group_can_flag, is_outlier,
+    moment_aggs,
 )
 from .attach import attach_stats
 from .windows import as_keys, assign_windows, check_columns
@@ -57,9 +58,11 @@ def flag(base: DataFrame, stats: DataFrame, group: list[str], value_col: str, k:
         joined = attach_stats(base, stats, group, stats_join)
         return joined.withColumn("is_outlier", is_outlier(value_col, k))
     # Only groups with an outlier meet their readings: a smaller table to measure, broadcast or
-    # shuffle, and the other groups' readings are dropped at the join's probe.
-    candidates = stats.filter(group_can_flag(k))
-    return attach_stats(base, candidates, group, stats_join).filter(is_outlier(value_col, k))
+    # shuffle, and the other groups' readings are dropped at the join's probe. Those groups have
+    # n >= 2 and hi > lo, so the range columns stay behind and each reading is tested only for
+    # its deviation.
+    candidates = stats.filter(group_can_flag(k)).drop(LO, HI)
+    return attach_stats(base, candidates, group, stats_join).filter(deviates(value_col, k))
 
 
 def detect(df: DataFrame, keys: str | Sequence[str], time_col: str, value_col: str,

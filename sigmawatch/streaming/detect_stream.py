@@ -27,7 +27,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from ..functions.stats import (
-    DEFAULT_K, HI, LO, M2, WINDOW_END, WINDOW_START, group_can_flag, is_outlier, moment_aggs,
+    DEFAULT_K, HI, LO, M2, WINDOW_END, WINDOW_START, deviates, group_can_flag, moment_aggs,
     tumbling_window,
 )
 from ..operators.windows import as_keys, check_columns
@@ -102,13 +102,13 @@ def detect_stream(readings: DataFrame, keys: str | Sequence[str], time_col: str,
     stats = (df.groupBy(tumbling_window(et, window).alias("__swin"),
                         *[F.col(c).alias(f"__s_{c}") for c in ks])
              .agg(*moment_aggs(value_col)).drop(M2)
-             .filter(group_can_flag(k))
+             .filter(group_can_flag(k)).drop(LO, HI)
              .withColumn("__s_salt", F.explode(F.sequence(F.lit(0).cast("long"),
                                                           F.lit(int(salt_buckets) - 1).cast("long")))))
     cond = reduce(lambda a, b: a & b,
                   [left["__win"] == stats["__swin"], left["__salt"] == stats["__s_salt"]]
                   + [left[c].eqNullSafe(stats[f"__s_{c}"]) for c in ks])
-    joined = left.join(stats, cond, "inner").filter(is_outlier(value_col, k))
+    joined = left.join(stats, cond, "inner").filter(deviates(value_col, k))
     start, end = F.col("__win.start"), F.col("__win.end")
     if ntz:
         start, end = _as_ntz(start), _as_ntz(end)
