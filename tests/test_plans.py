@@ -104,3 +104,26 @@ def test_hot_group_is_split_by_adaptive_skew_join(spark):
     assert "skew=true" in plan
     local = [tuple(r) for r in readings.select("deviceId", "temperatureC", "timestampMillis").collect()]
     assert rows == brute_force(local, 60_000, 3.0) and len(rows) >= 1
+
+
+def test_auto_picks_shuffled_hash_join_beyond_the_threshold(spark):
+    """Statistics over the broadcast threshold, but small per shuffle partition: auto picks a
+    shuffled hash join; the answer equals brute force."""
+    from test_detect import brute_force
+
+    rows = [(f"d{d}", 20.0 + 0.1 * (i % 3) + (30.0 if i == 7 else 0.0), 1000 * i)
+            for d in range(200) for i in range(12)]
+    old = {k: spark.conf.get(k) for k in ("spark.sql.autoBroadcastJoinThreshold",
+                                          "spark.sql.shuffle.partitions")}
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "2KB")
+    spark.conf.set("spark.sql.shuffle.partitions", "64")
+    try:
+        found = detect(readings_df(spark, rows), "deviceId", "ts", "temperatureC")
+        picked = found.select("deviceId", "temperatureC", "timestampMillis")
+        got = sorted(tuple(r) for r in picked.collect())
+        plan = picked._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+    assert "ShuffledHashJoin" in plan and "BroadcastHashJoin" not in plan
+    assert got == brute_force(rows, 60_000, 3.0) and len(got) == 200
