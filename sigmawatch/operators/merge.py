@@ -27,9 +27,10 @@ def merge_stats(stats: DataFrame, keys: str | Sequence[str], coarse_window: str)
             .select(*ks, F.col("__cw.start").alias("__cs"), F.col("__cw.end").alias("__ce"),
                     N, MEAN, M2, LO, HI))
     part = Window.partitionBy(*ks, "__cs")
-    total_n = F.sum(N).over(part)
-    total_mean = F.sum(F.col(N) * F.col(MEAN)).over(part) / total_n
-    fine = fine.withColumn("__N", total_n).withColumn("__M", total_mean)
+    # Both totals in one projection, so Spark computes them in a single Window operator.
+    fine = fine.select("*", F.sum(N).over(part).alias("__N"),
+                       F.sum(F.col(N) * F.col(MEAN)).over(part).alias("__S"))
+    fine = fine.withColumn("__M", F.col("__S") / F.col("__N"))
     inner, between = merged_moments(N, MEAN, M2, F.col("__N"), F.col("__M"))
     merged = fine.groupBy(*ks, "__cs", "__ce").agg(
         F.max("__N").alias(N),
