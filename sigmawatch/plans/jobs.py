@@ -4,6 +4,7 @@
   ``method='two_pass'`` is the buffered textbook job, ``'incremental'`` the running-moment one.
 * ``detect_generated``: generated readings (devices, per-device count, window seconds, window
   count, spike probability, parallelism; seed 42) -> the incremental detector -> console lines.
+* ``watch_folder``: the same pipeline as a stream over JSON-lines files arriving in a folder.
 """
 
 from __future__ import annotations
@@ -63,6 +64,18 @@ def detect_generated(spark: SparkSession, devices: int = 2000, per_device: int =
                                      parallelism, rng=rng), out_path)
 
 
+def watch_folder(spark: SparkSession, path: str, checkpoint: str, window: str = DEFAULT_WINDOW,
+                 k: float = DEFAULT_K, available_now: bool = False, out=None):
+    """The reference's pipeline as a stream: JSON-lines files arriving in ``path`` -> 1 s
+    watermark -> per device and window -> console lines, restartable from ``checkpoint``."""
+    from ..sources.readings import read_jsonl_stream
+    from ..streaming.detect_stream import detect_stream, start_to_console
+
+    found = detect_stream(read_jsonl_stream(spark, path), "deviceId", "ts", "temperatureC",
+                          window, k)
+    return start_to_console(found, checkpoint, available_now=available_now, out=out)
+
+
 def main(argv: list[str] | None = None) -> int:
     from ..session import local_session
 
@@ -79,9 +92,15 @@ def main(argv: list[str] | None = None) -> int:
     g.add_argument("--rng", choices=["hash", "java"], default="hash")
     for p_ in (f, g):
         p_.add_argument("--out", default=None, help="write lines as text files instead of printing")
+    w = sub.add_parser("watch", help="detect on JSON-lines files arriving in a folder (a stream)")
+    w.add_argument("path")
+    w.add_argument("checkpoint")
+    w.add_argument("--once", action="store_true", help="process what is there, then stop")
     args = ap.parse_args(argv)
     spark = local_session()
-    if args.job == "file":
+    if args.job == "watch":
+        watch_folder(spark, args.path, args.checkpoint, available_now=args.once).awaitTermination()
+    elif args.job == "file":
         detect_file(spark, args.path, method=args.method, out_path=args.out)
     else:
         detect_generated(spark, args.devices, args.per_device, args.window_seconds, args.windows,

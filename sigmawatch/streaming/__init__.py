@@ -1,8 +1,9 @@
 """Structured Streaming operators."""
 
 from .detect_stream import (
-    DEFAULT_DELAY, detect_stream, rows_dropped_by_watermark, start_to_files, window_stats_stream,
+    DEFAULT_DELAY, DEFAULT_SALT, detect_stream, rows_dropped_by_watermark, start_to_console,
+    start_to_files, window_stats_stream,
 )
 
-__all__ = ["DEFAULT_DELAY", "detect_stream", "rows_dropped_by_watermark", "start_to_files",
-           "window_stats_stream"]
+__all__ = ["DEFAULT_DELAY", "DEFAULT_SALT", "detect_stream", "rows_dropped_by_watermark",
+           "start_to_console", "start_to_files", "window_stats_stream"]

@@ -4,10 +4,11 @@ Two stateful operators over the same watermarked stream:
 
 1. a windowed aggregate of the moments per (keys, window), emitted in append mode once the
    watermark passes the window end (state: one buffer of partial moments per open group);
-2. a stream-stream inner join of those statistics with the readings on (keys, window). The
-   readings wait in the join's state store row by row (RocksDB-backed when the session selects
-   that provider), not as one growing array per group, and both sides' state is evicted by the
-   watermark once the window has been emitted.
+2. a stream-stream inner join of those statistics (only groups holding an outlier) with the
+   readings on (keys, window, salt). The readings wait in the join's state store row by row
+   (RocksDB-backed when the session selects that provider), not as one growing array per group,
+   spread over ``salt_buckets`` state partitions per group, and both sides' state is evicted by
+   the watermark once the window has been emitted.
 
 A window fires when ``max event time - delay >= window end``; rows older than the watermark are
 dropped (``numRowsDroppedByWatermark``). The last windows of a stream stay open until later data
@@ -130,6 +131,23 @@ def start_to_files(stream: DataFrame, path: str, checkpoint: str, fmt: str = "pa
     return writer.start()
 
 
+def start_to_console(stream: DataFrame, checkpoint: str, available_now: bool = False,
+                     processing_time: str | None = None, out=None, **line_cols) -> StreamingQuery:
+    """Print each micro-batch's anomaly lines (the reference's console sink) via ``foreachBatch``.
+
+    ``line_cols`` name the device, value and millis columns (see :func:`sinks.lines.with_lines`).
+    """
+    from ..sinks.lines import console_batch_writer
+
+    writer = (stream.writeStream.foreachBatch(console_batch_writer(out=out, **line_cols))
+              .option("checkpointLocation", checkpoint).outputMode("append"))
+    if processing_time:
+        writer = writer.trigger(processingTime=processing_time)
+    elif available_now:
+        writer = writer.trigger(availableNow=True)
+    return writer.start()
+
+
 def rows_dropped_by_watermark(query: StreamingQuery) -> int:
     """Late rows dropped, from the query's recent progress (the first stateful operator's count;
     every stateful operator drops the same late row)."""

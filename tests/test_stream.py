@@ -183,3 +183,23 @@ def test_salted_join_state_gives_the_same_answer(spark):
                       .select("deviceId", "temperatureC", "timestampMillis").collect())
     assert results[0] == results[1] == expected
     assert any(r[0] == "device-hot" for r in expected)
+
+
+def test_watch_folder_prints_lines_as_windows_close(spark):
+    """The streaming job: lines are printed once their window closes, once per checkpoint."""
+    import io
+
+    from sigmawatch.plans.jobs import watch_folder
+
+    root = fresh_dir("sw-watch-")
+    src, ckpt = os.path.join(root, "in"), os.path.join(root, "ck")
+    os.makedirs(src)
+    with open(os.path.join(src, "a.jsonl"), "w") as f:
+        f.write(sample_text())
+    out = io.StringIO()
+    watch_folder(spark, src, ckpt, available_now=True, out=out).awaitTermination()
+    assert out.getvalue() == ""                      # window still open
+    with open(os.path.join(src, "b.jsonl"), "w") as f:
+        f.write(jsonl([("sensor-C", 1.0, 121000)]))
+    watch_folder(spark, src, ckpt, available_now=True, out=out).awaitTermination()
+    assert out.getvalue().splitlines() == [SAMPLE_LINE]
