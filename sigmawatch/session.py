@@ -55,7 +55,11 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
-        # Only reached in tests and local runs: a cluster names its shared folder in the conf.
+        if not sc.master.startswith("local"):
+            # A machine-local folder is not shared by the executors of a cluster.
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS, object store) "
+                               "for the intermediates this job writes")
+        # Local runs and tests only.
         configured = tempfile.mkdtemp(prefix="sigmawatch-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir()
