@@ -66,12 +66,18 @@ def main() -> None:
     todo.update(EXTRA)
     if only:
         todo = {n: f for n, f in todo.items() if n in only}
-    results = {}
+    results, failed = {}, {}
     for name, fn in todo.items():
-        timed(spark, fn, sf_dir)  # warm-up
-        samples = [timed(spark, fn, sf_dir) for _ in range(runs)]
+        try:
+            timed(spark, fn, sf_dir)  # warm-up
+            samples = [timed(spark, fn, sf_dir) for _ in range(runs)]
+        except Exception as err:  # record and go on: one failure must not lose the whole bench
+            failed[name] = f"{type(err).__name__}: {str(err)[:200]}"
+            print(f"# {name}: FAILED {failed[name]}", file=sys.stderr, flush=True)
+            continue
+        finally:
+            spark.catalog.clearCache()
         results[name] = round(statistics.median(samples), 3)
-        spark.catalog.clearCache()
         print(f"# {name}: {results[name]} s", file=sys.stderr, flush=True)
     sf = sf_dir.rsplit("sf", 1)[-1] if "sf" in os.path.basename(sf_dir) else sf_dir
     print(json.dumps({
@@ -85,6 +91,7 @@ def main() -> None:
         "session_start_sec": round(startup, 3),
         "cold_default_job_sec": round(cold_default, 3),
         "cold_wall_default_job_sec": round(startup + cold_default, 3),
+        "failed": failed,
     }))
 
 
