@@ -127,3 +127,26 @@ def test_auto_picks_shuffled_hash_join_beyond_the_threshold(spark):
             spark.conf.set(k, v)
     assert "ShuffledHashJoin" in plan and "BroadcastHashJoin" not in plan
     assert got == brute_force(rows, 60_000, 3.0) and len(got) == 200
+
+
+def test_checkpoint_folder_rule():
+    """A configured folder is used as is; a local master without one gets a temporary folder;
+    a cluster without one is an error (no machine-local folder for shared intermediates)."""
+    from types import SimpleNamespace
+
+    from sigmawatch.session import ensure_checkpoint_dir
+
+    def fake(master, configured=None, current=None):
+        state = {"dir": current}
+        sc = SimpleNamespace(
+            master=master,
+            getCheckpointDir=lambda: state["dir"],
+            getConf=lambda: SimpleNamespace(get=lambda key, default=None: configured),
+            setCheckpointDir=lambda d: state.__setitem__("dir", d))
+        return SimpleNamespace(sparkContext=sc)
+
+    assert ensure_checkpoint_dir(fake("yarn", current="hdfs:///ck")) == "hdfs:///ck"
+    assert ensure_checkpoint_dir(fake("yarn", configured="hdfs:///shared")) == "hdfs:///shared"
+    assert ensure_checkpoint_dir(fake("local[2]")).startswith("/")
+    with pytest.raises(RuntimeError):
+        ensure_checkpoint_dir(fake("yarn"))
