@@ -8,6 +8,7 @@ adaptive skew-join handling splitting a hot group's readings over many tasks.
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
 from functools import reduce
 
@@ -19,6 +20,7 @@ from pyspark.sql import types as T
 from ..session import broadcast_limit
 
 _PREFIX = "__grp_"
+_WORD_ROW_BYTES = 24  # a (word index, bits) row: null bits + two longs
 STRATEGIES = ("auto", "broadcast", "shuffle_hash", "shuffle_merge", "shuffle")
 
 
@@ -63,6 +65,42 @@ def measure(stats: DataFrame) -> StatsSize:
     return StatsSize(rows, rows * fixed + var_bytes, broadcast_limit(spark), parts)
 
 
+def key_filter_bits(n_keys: int, limit: int) -> int | None:
+    """Size ``m`` (bits, a power of two) of the candidate-key bit set, or None to go without.
+
+    The set is stored as ``m / 64`` rows of (word index, 64 bits): the largest ``m`` whose table
+    fits the broadcast threshold, so its size is bounded before anything runs. With one hash
+    bit per key a non-candidate passes with probability ``1 - exp(-n/m)``; above one half the
+    filter would not pay for its probe, and the shuffle join runs unfiltered.
+    """
+    if limit < 0 or n_keys <= 0:
+        return None
+    words = limit // _WORD_ROW_BYTES
+    if words < 1:
+        return None
+    m = 64 * (1 << (int(words).bit_length() - 1))
+    return m if 1.0 - math.exp(-n_keys / m) <= 0.5 else None
+
+
+def filter_by_key_bits(readings: DataFrame, stats: DataFrame, on: list[str], m: int) -> DataFrame:
+    """Drop readings whose group cannot be among ``stats``' keys, before they are shuffled.
+
+    One bit per key at ``pmod(xxhash64(keys), m)``; the word table is built from the statistics
+    (``bit_or`` per word, at most ``m / 64`` rows) and broadcast; each reading probes its word.
+    A candidate's reading always passes (its bit is set); others pass only on a hash collision,
+    and the join after it decides exactly.
+    """
+    bit = F.pmod(F.xxhash64(*[F.col(c) for c in on]), F.lit(int(m)).cast("long"))
+    word = F.shiftright(F.col("__kbit"), 6).alias("__kw")
+    mask = F.expr("shiftleft(1L, cast(pmod(__kbit, 64) as int))").alias("__km")
+    table = (stats.select(bit.alias("__kbit")).select(word, mask)
+             .groupBy("__kw").agg(F.bit_or("__km").alias("__kb")))
+    probe = readings.withColumn("__kbit", bit).select(*readings.columns, word, mask)
+    return (probe.join(F.broadcast(table), "__kw", "inner")
+            .filter(F.col("__km").bitwiseAND(F.col("__kb")) != 0)
+            .drop("__kw", "__km", "__kb"))
+
+
 def attach_stats(readings: DataFrame, stats: DataFrame, on: list[str],
                  strategy: str = "auto", how: str = "inner") -> DataFrame:
     """Join ``stats`` (unique on ``on``) to ``readings`` (``inner`` or ``left``); group keys
@@ -72,6 +110,8 @@ def attach_stats(readings: DataFrame, stats: DataFrame, on: list[str],
     :attr:`StatsSize.strategy`), or one of those forced: ``broadcast``, ``shuffle_hash``,
     ``shuffle_merge`` (``shuffle`` is sort-merge). The shuffle joins are hinted so the planner
     does not broadcast on its own estimate; adaptive execution splits skewed partitions.
+    With ``auto`` and an inner shuffle join, readings first pass a broadcast bit set of the
+    statistics' keys (:func:`filter_by_key_bits`) when one of bounded size is selective enough.
     Duplicated readings stay duplicated: the statistics are unique on the join columns.
     """
     if strategy not in STRATEGIES:
@@ -84,7 +124,13 @@ def attach_stats(readings: DataFrame, stats: DataFrame, on: list[str],
     renamed = stats.select(*[F.col(c).alias(_PREFIX + c) for c in on],
                            *[c for c in stats.columns if c not in on])
     if strategy == "auto":
-        strategy = measure(renamed).strategy
+        size = measure(renamed)
+        strategy = size.strategy
+        bits = key_filter_bits(size.rows, size.limit)
+        if strategy != "broadcast" and how == "inner" and bits:
+            # The statistics are too big to broadcast, but a bit set of their keys is not:
+            # readings of other groups are dropped before the shuffle.
+            readings = filter_by_key_bits(readings, stats, on, bits)
     if strategy == "broadcast":
         side = F.broadcast(renamed)
     else:

@@ -125,10 +125,30 @@ def test_auto_picks_shuffled_hash_join_beyond_the_threshold(spark):
     finally:
         for k, v in old.items():
             spark.conf.set(k, v)
-    assert "ShuffledHashJoin" in plan and "BroadcastHashJoin" not in plan
+    assert "ShuffledHashJoin" in plan
+    # The only broadcast is the bounded bit set of candidate keys probed before the shuffle.
+    assert "bit_or" in plan and "__kw" in plan
     assert got == brute_force(rows, 60_000, 3.0) and len(got) == 200
 
 
+def test_key_bits_keep_every_candidate_and_drop_most_others(spark):
+    from pyspark.sql import functions as F
+
+    from sigmawatch.operators.attach import filter_by_key_bits, key_filter_bits
+
+    readings = spark.range(0, 200_000).select(
+        (F.col("id") % 20_000).cast("string").alias("dev"), (F.col("id") % 7).alias("w"),
+        F.col("id").alias("v"))
+    stats = readings.select("dev", "w").distinct().filter(F.col("dev").cast("int") % 10 == 0)
+    m = key_filter_bits(stats.count(), 64 << 10)
+    assert m is not None
+    kept = filter_by_key_bits(readings, stats, ["dev", "w"], m)
+    wanted = readings.join(stats, ["dev", "w"], "left_semi")
+    assert wanted.exceptAll(kept.join(stats, ["dev", "w"], "left_semi")).count() == 0
+    assert kept.join(stats, ["dev", "w"], "left_semi").count() == wanted.count() == 20_000
+    assert kept.count() < 0.25 * readings.count()       # 10% wanted, at most ~13% passes
+
+
 def test_checkpoint_folder_rule():
     """A configured folder is used as is; a local master without one gets a temporary folder;
     a cluster without one is an error (no machine-local folder for shared intermediates)."""
