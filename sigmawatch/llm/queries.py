@@ -7,7 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .apportion import mix
+from .bpe_fst import round_trip
 from .common import read_table
+from .pii_anchors import find
 from .simhash_golay import fingerprint_hex, near_duplicates
 from .toxicity_fm import held_out, toxicity
 
@@ -23,9 +26,27 @@ def op5_toxicity_fm(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", held_out().alias("held_out"), "score", "predicted")
 
 
+def op6_pii_anchors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    return find(docs).select("doc_id", "n_email", "n_ip", "n_card", "n_phone", "base_sha256", "spans")
+
+
+def op7_bpe_fst(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    return round_trip(docs).select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256")
+
+
+def op10_sainte_lague_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mixed = mix(read_table(spark, sf_dir, "documents"))
+    return mixed.select("doc_id", "size", "source_size", "target", "taken")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_simhash_golay": op4_simhash_golay,
     "op5_toxicity_fm": op5_toxicity_fm,
+    "op6_pii_anchors": op6_pii_anchors,
+    "op7_bpe_fst": op7_bpe_fst,
+    "op10_sainte_lague_mix": op10_sainte_lague_mix,
 }
 
 ORACLE_SQL: dict[str, str] = {}

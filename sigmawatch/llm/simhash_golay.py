@@ -280,7 +280,7 @@ def links(fps: DataFrame, max_bits: int = MAX_BITS, bucket_rows: int = BUCKET_RO
         return _bucket_links(batches, max_bits, bucket_rows)
 
     # Spread the few bytes of the fingerprints first: each makes some 180 keys.
-    keyed = fps.select("fp").repartition(n, "fp").mapInArrow(emit, "key long, fp long")
+    keyed = fps.select("fp").repartition(n, F.xxhash64("fp")).mapInArrow(emit, "key long, fp long")
     found = materialise(keyed.repartition(n, "key").sortWithinPartitions("key")
                         .mapInArrow(meet, "kind int, u long, v long"), "golay-links")
     direct = found.filter("kind = 0").select("u", "v")
