@@ -26,7 +26,7 @@ WEIGHTS = (5, 2, 1)
 MAX_REPEATS = 3
 #: Words of a block, and words of a shard (a shard's documents meet in one task).
 BLOCK = 64
-SHARD_WORDS = 4_000_000
+SHARD_WORDS = 500_000
 SEED = 29
 #: Seats around its rounded-down share that a party competes for at first.
 MARGIN = 3
