@@ -18,6 +18,8 @@ from __future__ import annotations
 import base64
 import codecs
 import hashlib
+import sys
+import types
 from array import array
 from collections.abc import Iterator
 
@@ -235,6 +237,16 @@ class Decoder:
         return self.machine.decode(b"", True)
 
 
+def worker_encoder(path: str) -> Encoder:
+    """The encoder of a vocabulary, kept for the life of the Python worker: later tasks start with
+    the states and pre-tokens that earlier ones met."""
+    held = sys.modules.setdefault("_sigmawatch_worker", types.ModuleType("_sigmawatch_worker"))
+    kept = held.__dict__.setdefault("encoders", {})
+    if path not in kept:
+        kept[path] = Encoder(load_ranks(path))
+    return kept[path]
+
+
 def ranks_table(vocabulary: str = VOCABULARY) -> str:
     """Path of a vocabulary file; the installed package holds it on every machine."""
     return public_tokenizers.path(vocabulary)
@@ -292,7 +304,7 @@ def round_trip(docs: DataFrame, vocabulary: str = VOCABULARY) -> DataFrame:
 
 def _with(docs: DataFrame, names: tuple[str, ...], schema: str, path: str, make) -> DataFrame:
     def run(columns: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        encoder = Encoder(load_ranks(path))
+        encoder = worker_encoder(path)
         for column in columns:
             parts = [make(encoder, strings(s.column(0)))
                      for s in slices([pa.RecordBatch.from_arrays([column], ["t"])], 2_000, "t")]

@@ -9,10 +9,21 @@ from pyspark.sql import functions as F
 
 from .apportion import mix
 from .bpe_fst import round_trip
+from .chat_grammar import format_turns, read_back, with_trap
 from .common import read_table
 from .pii_anchors import find
 from .simhash_golay import fingerprint_hex, near_duplicates
 from .toxicity_fm import held_out, toxicity
+from .url_sweep import default_rules, judge
+from .vamana import nearest
+
+
+def op1_vamana_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearest(read_table(spark, sf_dir, "embeddings"))
+
+
+def op2_url_sweep(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return judge(read_table(spark, sf_dir, "pages"), default_rules(spark))
 
 
 def op4_simhash_golay(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -36,16 +47,24 @@ def op7_bpe_fst(spark: SparkSession, sf_dir: str) -> DataFrame:
     return round_trip(docs).select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256")
 
 
+def op9_chat_grammar(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = with_trap(read_table(spark, sf_dir, "conversations"))
+    return read_back(format_turns(turns))
+
+
 def op10_sainte_lague_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mix(read_table(spark, sf_dir, "documents"))
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_vamana_ann": op1_vamana_ann,
+    "op2_url_sweep": op2_url_sweep,
     "op4_simhash_golay": op4_simhash_golay,
     "op5_toxicity_fm": op5_toxicity_fm,
     "op6_pii_anchors": op6_pii_anchors,
     "op7_bpe_fst": op7_bpe_fst,
+    "op9_chat_grammar": op9_chat_grammar,
     "op10_sainte_lague_mix": op10_sainte_lague_mix,
 }
 
