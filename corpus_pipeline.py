@@ -1,23 +1,55 @@
-"""Training-data pipeline over ``documents`` (being built up; see the stages below)."""
+"""Training-data pipeline over ``documents``.
+
+``STAGES`` lists ``(name, function)``; each function takes ``(spark, docs, sf_dir)`` and works on
+all rows its predecessor kept. :func:`run` writes every stage's result below the shared checkpoint
+folder as Parquet and reads it back as the next one's ``docs``. All stages but the last return the
+columns of ``documents``. An empty table gives an empty result; nulls, repeated rows and extra
+columns are treated as the operators' docstrings say.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from sigmawatch.llm import simhash_golay, toxicity_fm
+from sigmawatch.llm import apportion, bpe_fst, pii_anchors, simhash_golay, toxicity_fm
 from sigmawatch.llm.common import materialise, read_table
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the factorization machine does not predict as toxic."""
     scored = toxicity_fm.toxicity(docs, read_table(spark, sf_dir, "labels"))
     return scored.filter("predicted = 0").select(*docs.columns)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of SimHash near-copies."""
     return simhash_golay.deduplicate(docs)
 
 
-STAGES = [("toxicity", drop_toxic), ("simhash", drop_near_copies)]
+def redact_pii(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, personal data replaced by its kind."""
+    return pii_anchors.redacted(docs)
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents as often as the mix of sources takes them."""
+    return apportion.mixed(docs)
+
+
+def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token ids of every document, as little-endian unsigned 32-bit integers."""
+    return bpe_fst.encode(docs).select("doc_id", "source", "n_tokens", "ids")
+
+
+STAGES = [
+    ("toxicity", drop_toxic),
+    ("simhash", drop_near_copies),
+    ("pii", redact_pii),
+    ("mix", mix_sources),
+    ("bpe", tokenize),
+]
+
+#: No stage but the mix can be said in SQL; the pipeline is tested against brute-force stages.
 ORACLE_SQL = None
 
 

@@ -11,6 +11,8 @@ from .apportion import mix
 from .bpe_fst import round_trip
 from .chat_grammar import format_turns, read_back, with_trap
 from .common import read_table
+from .context_mixing import language_model
+from .iblt import fingerprints
 from .pii_anchors import find
 from .simhash_golay import fingerprint_hex, near_duplicates
 from .toxicity_fm import held_out, toxicity
@@ -26,6 +28,10 @@ def op2_url_sweep(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge(read_table(spark, sf_dir, "pages"), default_rules(spark))
 
 
+def op3_iblt(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints(read_table(spark, sf_dir, "documents"))
+
+
 def op4_simhash_golay(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = near_duplicates(read_table(spark, sf_dir, "documents"))
     return found.select("doc_id", fingerprint_hex("fp").alias("fingerprint"), "component_id")
@@ -47,6 +53,10 @@ def op7_bpe_fst(spark: SparkSession, sf_dir: str) -> DataFrame:
     return round_trip(docs).select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256")
 
 
+def op8_context_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_model(read_table(spark, sf_dir, "documents"))
+
+
 def op9_chat_grammar(spark: SparkSession, sf_dir: str) -> DataFrame:
     turns = with_trap(read_table(spark, sf_dir, "conversations"))
     return read_back(format_turns(turns))
@@ -60,10 +70,12 @@ def op10_sainte_lague_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_vamana_ann": op1_vamana_ann,
     "op2_url_sweep": op2_url_sweep,
+    "op3_iblt": op3_iblt,
     "op4_simhash_golay": op4_simhash_golay,
     "op5_toxicity_fm": op5_toxicity_fm,
     "op6_pii_anchors": op6_pii_anchors,
     "op7_bpe_fst": op7_bpe_fst,
+    "op8_context_mixing": op8_context_mixing,
     "op9_chat_grammar": op9_chat_grammar,
     "op10_sainte_lague_mix": op10_sainte_lague_mix,
 }
