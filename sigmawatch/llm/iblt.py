@@ -9,11 +9,11 @@ Two versions are compared by subtracting their sketches cell by cell. What both
 rest is peeled: a cell with count +1 or -1 whose check hash fits holds exactly one digest, which is
 recovered and taken out of its three cells, which opens others. Each round looks at one subtable, in
 which a digest has one cell, so none is recovered twice. A sketch that does not peel empty is made
-again four times larger with another salt. The numbers of digests only one version holds give the
+again eight times larger with another salt. The numbers of digests only one version holds give the
 likeness exactly: ``|A and B| / |A or B|`` of the two sets.
 
 DataFrame and SQL functions only. The texts are shuffled once by ``doc_id`` and the part of each
-that the document before it needs once more; the digests lie in a table bucketed by ``doc_id``, so
+that the document before it needs once more; the digests lie in a table bucketed by the id, so
 building and peeling sketches shuffles nothing.
 """
 
@@ -27,11 +27,11 @@ from pyspark.sql import functions as F
 from ..session import scratch_path
 from .common import materialise, ranked_blocks, shuffle_partitions
 
-#: Cells of each of the three subtables of the fingerprint; each retry has four times as many.
+#: Cells of each of the three subtables of the fingerprint; each retry has eight times as many.
 CELLS = 4
-GROWTH = 4
+GROWTH = 8
 #: Peeling rounds of a try (a round for each subtable in turn).
-ROUNDS = 15
+ROUNDS = 12
 MAX_TRIES = 16
 _BREAK = r"\n+|(?<=[.!?])[ \t]+"
 _TABLES = 3
@@ -66,42 +66,56 @@ def _successors(docs: DataFrame) -> DataFrame:
     return joined.select("doc_id", after.alias("next_id"))
 
 
+def _only(flag: str, other: str) -> Column:
+    """Two columns are equal, said so that the join's key stays ``_key`` alone and neither side is
+    dealt anew."""
+    return (F.col(flag).cast("int") - F.col(other).cast("int")) == 0
+
+
 def _versions(docs: DataFrame) -> DataFrame:
-    """A row per document: its id, length, the edited text's hash and the paragraph hashes of its
-    own text, the edited text and the next document's text."""
+    """A row per document: its key, id, length, the edited text's hash and the paragraph hashes of
+    its own text, the edited text and the next document's text. ``(_key, _copy)`` is unique."""
     base = docs.select(F.col("doc_id").cast("long").alias("doc_id"),
                        F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     n = F.char_length("text").cast("long")
     parts = shuffle_partitions(docs.sparkSession)
-    # Of rows that repeat an id the first by text stands for it; both uses share this exchange.
-    first = Window.partitionBy("doc_id").orderBy("text")
-    keyed = base.repartition(parts, "doc_id").withColumn("_copy", F.row_number().over(first))
+    key, none = F.coalesce(F.col("doc_id"), F.lit(0)), F.col("doc_id").isNull()
+    row = Window.partitionBy("_key").orderBy(F.col("doc_id").asc_nulls_last(), "text")
+    same = Window.partitionBy("_key", "doc_id").orderBy("text")
+    # Both uses of the texts share this exchange. Of rows that repeat an id the first by text
+    # stands for it.
+    keyed = (base.withColumn("_key", key).repartition(parts, "_key")
+             .withColumn("_copy", F.row_number().over(row))
+             .withColumn("_place", F.row_number().over(same)))
     order = materialise(_successors(base), "iblt-next")
-    lengths = base.select("doc_id", F.floor(n / 2).alias("_half"))
+    lengths = base.groupBy(F.col("doc_id").alias("_id")).agg(F.max(F.floor(n / 2)).alias("_half"))
     # The longest part of the next text that a document with this id may need.
-    wanted = (order.join(lengths.groupBy(F.col("doc_id").alias("_id")).agg(F.max("_half").alias("_half")),
-                         F.col("doc_id").eqNullSafe(F.col("_id")))
-              .select(F.col("doc_id").alias("_for"), "next_id", "_half"))
+    wanted = (order.join(lengths, F.col("doc_id").eqNullSafe(F.col("_id")))
+              .select(key.alias("_for"), none.alias("_for_none"), "_half",
+                      F.coalesce("next_id", F.lit(0)).alias("_nkey"),
+                      F.col("next_id").isNull().alias("_nnone")))
     wanted = materialise(wanted, "iblt-wanted")
-    given = (keyed.filter("_copy = 1").join(wanted, F.col("doc_id").eqNullSafe(F.col("next_id")))
-             .select("_for", F.expr("substring(text, 1, cast(_half as int))").alias("_head"),
+    given = (keyed.filter("_place = 1").withColumn("_none", none)
+             .join(wanted, (F.col("_key") == F.col("_nkey")) & _only("_none", "_nnone"))
+             .select("_for", "_for_none",
+                     F.expr("substring(text, 1, cast(_half as int))").alias("_head"),
                      _hashes(F.col("text")).alias("_next")))
     half = F.floor(n / 2)
     edited = F.concat(F.expr("substring(text, 1, cast(char_length(text) - floor(char_length(text) / 2) as int))"),
                       F.substring(F.col("_head"), F.lit(1), half.cast("int")))
-    joined = keyed.join(given, F.col("doc_id").eqNullSafe(F.col("_for")), "left")
-    joined = joined.select("doc_id", "_copy", n.alias("n_chars"), "text", edited.alias("_edited"),
-                           "_next")
-    return joined.select("doc_id", "_copy", "n_chars", F.sha2("_edited", 256).alias("edited_sha256"),
-                         _hashes(F.col("text")).alias("own"), _hashes(F.col("_edited")).alias("edited"),
+    joined = keyed.withColumn("_none", none).join(
+        given, (F.col("_key") == F.col("_for")) & _only("_none", "_for_none"), "left")
+    return joined.select("_key", "_copy", "doc_id", n.alias("n_chars"),
+                         F.sha2(edited, 256).alias("edited_sha256"),
+                         _hashes(F.col("text")).alias("own"), _hashes(edited).alias("edited"),
                          F.col("_next").alias("next"))
 
 
 def _bucketed(df: DataFrame) -> DataFrame:
-    """``df`` in the shared folder, bucketed by ``doc_id``."""
+    """``df`` in the shared folder, bucketed by ``_key``."""
     spark = df.sparkSession
     name = f"iblt_{uuid.uuid4().hex[:12]}"
-    (df.write.bucketBy(shuffle_partitions(spark), "doc_id")
+    (df.write.bucketBy(shuffle_partitions(spark), "_key")
      .option("path", scratch_path(spark, "iblt-versions")).saveAsTable(name))
     return spark.table(name)
 
@@ -132,29 +146,34 @@ def _combine(entries: DataFrame, keys: list[str]) -> DataFrame:
     return summed.filter("n <> 0 or d <> 0 or c <> 0")
 
 
-def digests(versions: DataFrame, names: list[str]) -> DataFrame:
-    """``(doc_id, _copy, version, digest)``: a row per distinct (paragraph, times) of a version."""
-    rows = versions.select("doc_id", "_copy", F.explode(F.array(*[
-        F.struct(F.lit(i).alias("version"), F.col(c).alias("list"))
-        for i, c in enumerate(names)])).alias("_v"))
-    rows = rows.select("doc_id", "_copy", "_v.version", F.explode("_v.list").alias("_h"))
-    counted = rows.groupBy("doc_id", "_copy", "version", "_h").agg(F.count(F.lit(1)).alias("_n"))
-    return counted.select("doc_id", "_copy", "version", F.xxhash64("_h", "_n").alias("digest"))
+def digests(versions: DataFrame, need: Column | None = None) -> DataFrame:
+    """``(_key, _copy, version, digest)``: a row per distinct (paragraph, times) of a version (0:
+    own, 1: edited, 2: next). ``need``: bits of the pairs (1, 2) that are wanted, else both."""
+    rows = versions.select("_key", "_copy", (F.lit(3) if need is None else need).alias("_need"),
+                           F.explode(F.array(*[
+                               F.struct(F.lit(i).alias("version"), F.col(c).alias("list"))
+                               for i, c in enumerate(("own", "edited", "next"))])).alias("_v"))
+    rows = rows.filter((F.col("_v.version") == 0)
+                       | (F.col("_need").bitwiseAND(F.col("_v.version")) != 0))
+    rows = rows.select("_key", "_copy", "_need", "_v.version", F.explode("_v.list").alias("_h"))
+    counted = rows.groupBy("_key", "_copy", "_need", "version", "_h").agg(F.count(F.lit(1)).alias("_n"))
+    return counted.select("_key", "_copy", "_need", "version", F.xxhash64("_h", "_n").alias("digest"))
 
 
-_PAIR = ["doc_id", "_copy", "pair"]
+_PAIR = ["_key", "_copy", "pair"]
 
 
 def _differences(versions: DataFrame, salt: int, width: int) -> DataFrame:
     """Subtracted sketches of the pairs own/edited (1) and own/next (2), peeled: a row per pair
     and kind of what is left (cells: pair failed) or recovered (cells -1 and -2)."""
-    sides = digests(versions, ["own", "edited", "next"])
-    signed = sides.select("doc_id", "_copy", "digest", F.explode(
+    sides = digests(versions, F.col("_need"))
+    signed = sides.select("_key", "_copy", "_need", "digest", F.explode(
         F.when(F.col("version") == 0, F.array(
             F.struct(F.lit(1).alias("pair"), F.lit(1).alias("s")),
             F.struct(F.lit(2).alias("pair"), F.lit(1).alias("s"))))
         .otherwise(F.array(F.struct(F.col("version").alias("pair"), F.lit(-1).alias("s"))))
-    ).alias("_p")).select("doc_id", "_copy", "_p.pair", F.col("_p.s").alias("s"), "digest")
+    ).alias("_p")).filter(F.col("_need").bitwiseAND(F.col("_p.pair")) != 0)
+    signed = signed.select("_key", "_copy", "_p.pair", F.col("_p.s").alias("s"), "digest")
     # The sketch of each version is linear in its digests, so the subtraction of the two sketches
     # is the sum over the signed digests of both.
     state = _combine(_spread(signed, _PAIR, F.col("s"), F.col("digest"), salt, width), _PAIR)
@@ -179,28 +198,28 @@ def _differences(versions: DataFrame, salt: int, width: int) -> DataFrame:
 
 
 def _fingerprints(versions: DataFrame, width: int) -> DataFrame:
-    """``(doc_id, _copy, own_n, edited_n, next_n, fingerprint, edited_fingerprint)``."""
-    sides = digests(versions, ["own", "edited", "next"])
-    totals = sides.groupBy("doc_id", "_copy").agg(*[
+    """``(_key, _copy, own_n, edited_n, next_n, fingerprint, edited_fingerprint)``."""
+    sides = digests(versions)
+    totals = sides.groupBy("_key", "_copy").agg(*[
         F.sum((F.col("version") == i).cast("long")).alias(f"{c}_n")
         for i, c in enumerate(("own", "edited", "next"))])
-    keys = ["doc_id", "_copy", "version"]
+    keys = ["_key", "_copy", "version"]
     cells = _combine(_spread(sides.filter("version < 2"), keys, F.lit(1), F.col("digest"), 0, width), keys)
     shown = F.concat_ws(":", F.lower(F.hex("cell")), F.lower(F.hex("n")), F.lower(F.hex("d")),
                         F.lower(F.hex("c")))
-    listed = cells.groupBy("doc_id", "_copy").agg(*[
+    listed = cells.groupBy("_key", "_copy").agg(*[
         F.sort_array(F.collect_list(F.when(F.col("version") == i, F.struct("cell", shown.alias("s")))))
         .alias(f"_f{i}") for i in range(2)])
     text = [F.array_join(F.transform(f"_f{i}", lambda x: x["s"]), ",") for i in range(2)]
-    listed = listed.select("doc_id", "_copy", text[0].alias("fingerprint"),
+    listed = listed.select("_key", "_copy", text[0].alias("fingerprint"),
                            text[1].alias("edited_fingerprint"))
     return _on_id(totals, listed)
 
 
 def _on_id(left: DataFrame, right: DataFrame, how: str = "left") -> DataFrame:
-    named = right.withColumnRenamed("doc_id", "_rid").withColumnRenamed("_copy", "_rcopy")
-    return left.join(named, F.col("doc_id").eqNullSafe(F.col("_rid"))
-                     & (F.col("_copy") == F.col("_rcopy")), how).drop("_rid", "_rcopy")
+    named = right.withColumnRenamed("_key", "_rkey").withColumnRenamed("_copy", "_rcopy")
+    return left.join(named, (F.col("_key") == F.col("_rkey")) & _only("_copy", "_rcopy"),
+                     how).drop("_rkey", "_rcopy")
 
 
 def fingerprints(docs: DataFrame, cells: int = CELLS) -> DataFrame:
@@ -216,26 +235,23 @@ def fingerprints(docs: DataFrame, cells: int = CELLS) -> DataFrame:
     """
     versions = _bucketed(_versions(docs))
     base = _fingerprints(versions, cells)
-    todo, tries, solved = versions, 0, None
+    todo, tries, solved = versions.withColumn("_need", F.lit(3)), 0, None
     width = cells
     while True:
         got = materialise(_differences(todo, tries, width), f"iblt-try{tries}")
         done = got.filter("left = 0").select(*_PAIR, "only_own", "only_other")
         solved = done if solved is None else solved.unionByName(done)
-        failed = got.filter("left > 0").select("doc_id", "_copy").distinct()
+        failed = got.filter("left > 0").groupBy("_key", "_copy").agg(F.bit_or("pair").alias("_need"))
         if not failed.limit(1).count():
             break
         tries, width = tries + 1, width * GROWTH
         if tries == MAX_TRIES:
             raise RuntimeError("sketches do not peel")
-        again = failed.select(F.col("doc_id").alias("_fid"), F.col("_copy").alias("_fcopy"))
-        todo = versions.join(again, F.col("doc_id").eqNullSafe(F.col("_fid"))
-                             & (F.col("_copy") == F.col("_fcopy")), "left_semi")
-    # A pair may be solved in a try and again in a later one made for the document's other pair.
-    by_pair = solved.groupBy("doc_id", "_copy").agg(*[
+        todo = _on_id(versions, failed, "inner")
+    by_pair = solved.groupBy("_key", "_copy").agg(*[
         F.max(F.when(F.col("pair") == p, F.col(c))).alias(f"_{c}{p}")
         for p in (1, 2) for c in ("only_own", "only_other")])
-    out = _on_id(_on_id(versions.select("doc_id", "_copy", "n_chars", "edited_sha256"), base), by_pair)
+    out = _on_id(_on_id(versions.select("_key", "_copy", "doc_id", "n_chars", "edited_sha256"), base), by_pair)
     own = F.coalesce(F.col("own_n"), F.lit(0))
 
     def likeness(pair: int) -> Column:
