@@ -28,7 +28,7 @@ def device_id(index_col: str | Column) -> Column:
     """``device-%04d`` of an integer index. Zero-padding through ``lpad`` is the same text as
     ``format_string`` for non-negative indexes (wider numbers print whole) and about four
     times cheaper per row; negative indexes take the ``format_string`` path."""
-    i = col_of(index_col).cast("int")
+    i = col_of(index_col).cast("long")
     digits = i.cast("string")
     return (F.when(i >= 10_000, F.concat(F.lit("device-"), digits))
             .when(i >= 0, F.concat(F.lit("device-"), F.lpad(digits, 4, "0")))

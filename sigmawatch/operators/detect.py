@@ -5,7 +5,8 @@ Two shapes compute the same answer:
 * ``incremental`` (default): one aggregate per (keys, window) with Spark's incremental
   central-moment aggregate, then one pass that joins the statistics back and flags readings.
 * ``two_pass``: the textbook definition: a mean pass, a pass summing squared deviations from
-  that mean, then the flag pass. Three aggregates/joins, no running update.
+  that mean, then the flag pass. No running update; beyond the broadcast threshold the readings
+  are shuffled twice, so this shape is for comparison and ``incremental`` for large data.
 
 Neither shape gathers a group's readings in one place: the statistics are aggregates (partial
 aggregation absorbs hot keys) and the readings meet them through a join (broadcast after a size
@@ -16,7 +17,6 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -24,6 +24,7 @@ from ..functions.stats import (
     DEFAULT_K, HI, LO, M2, MEAN, N, STDDEV, WINDOW_START, deviates, group_can_flag, is_outlier,
     moment_aggs,
 )
+from ..session import written
 from .attach import attach_stats
 from .windows import as_keys, assign_windows, check_columns
 
@@ -36,18 +37,18 @@ def group_stats(base: DataFrame, group: list[str], value_col: str, method: str =
     if method not in METHODS:
         raise ValueError(f"method must be one of {METHODS}")
     if method == "incremental":
-        return base.groupBy(*group).agg(*moment_aggs(value_col)).drop(M2)
-    v = F.col(value_col)
+        return base.groupBy(*group).agg(*moment_aggs(F.col(value_col).cast("double"))).drop(M2)
+    v = F.col(value_col).cast("double")
     means = base.groupBy(*group).agg(
         F.count(v).alias(N), F.avg(v).alias(MEAN), F.min(v).alias(LO), F.max(v).alias(HI))
-    means = means.persist(StorageLevel.MEMORY_AND_DISK)
-    # Pass 2 reads the readings again with their group's mean attached.
-    with_mean = attach_stats(base.select(*group, value_col), means, group, stats_join)
-    deviation = F.col(value_col) - F.col(MEAN)
-    squares = with_mean.groupBy(*group).agg(F.sum(deviation * deviation).alias("__ss"))
-    return (attach_stats(means, squares, group, stats_join)
-            .withColumn(STDDEV, F.sqrt(F.col("__ss") / F.col(N)))
-            .drop("__ss"))
+    # Pass 2 reads the readings again with their group's mean attached and carries the first
+    # pass's figures, equal within a group, through its aggregate.
+    pass2 = base.select(*group, v.alias("__x"))
+    with_mean = attach_stats(pass2, means, group, stats_join)
+    deviation = F.col("__x") - F.col(MEAN)
+    carried = [F.any_value(c).alias(c) for c in (N, MEAN, LO, HI)]
+    squares = with_mean.groupBy(*group).agg(F.sum(deviation * deviation).alias("__ss"), *carried)
+    return squares.withColumn(STDDEV, F.sqrt(F.col("__ss") / F.col(N))).drop("__ss")
 
 
 def flag(base: DataFrame, stats: DataFrame, group: list[str], value_col: str, k: float,
@@ -75,7 +76,9 @@ def detect(df: DataFrame, keys: str | Sequence[str], time_col: str, value_col: s
     a reading is part of its own baseline; duplicates count and are reported each time.
 
     ``stats_join`` picks how statistics meet readings (see :func:`attach_stats`): ``auto``
-    measures the statistics and broadcasts them only when they fit the session's threshold.
+    measures the statistics and broadcasts them only when they fit the session's threshold. With
+    it this function runs jobs while the result is being built (the statistics are written to the
+    shared checkpoint folder); the statistics are computed from the input as it is at the call.
     """
     base, group = _prepare(df, keys, time_col, value_col, window, k)
     stats = group_stats(base, group, value_col, method, stats_join)
@@ -103,7 +106,7 @@ def flag_counts(df: DataFrame, keys: str | Sequence[str], time_col: str, value_c
     back to them, so the readings are read twice and never shuffled for the counting.
     """
     base, group = _prepare(df, keys, time_col, value_col, window, k)
-    stats = group_stats(base, group, value_col, method).persist(StorageLevel.MEMORY_AND_DISK)
+    stats = written(group_stats(base, group, value_col, method), "group-stats")
     flagged = (flag(base, stats, group, value_col, k)
                .groupBy(*group).agg(F.count(F.lit(1)).alias("n_flagged")))
     out = attach_stats(stats.select(*group, N), flagged, group, how="left")

@@ -20,9 +20,20 @@ from .windows import as_keys
 
 
 def merge_stats(stats: DataFrame, keys: str | Sequence[str], coarse_window: str) -> DataFrame:
-    """Re-window fine statistics to ``coarse_window`` (a multiple of the fine size, epoch aligned)."""
+    """Re-window fine statistics to ``coarse_window`` (a multiple of the fine size, epoch aligned).
+
+    Runs one small job over the statistics to find the fine windows' size and raises ``ValueError``
+    if they differ in size or the coarse size is not a multiple of it.
+    """
     ks = as_keys(keys)
     coarse = tumbling_window(WINDOW_START, coarse_window)
+    micros = "timestampdiff(MICROSECOND, {}, {})".format
+    sizes = stats.select(F.expr(micros(WINDOW_START, WINDOW_END)).alias("f"), coarse.alias("w"))
+    sizes = sizes.agg(F.min("f").alias("lo"), F.max("f").alias("hi"),
+                      F.max(F.expr(micros("w.start", "w.end"))).alias("c")).first()
+    if sizes["lo"] is not None and (sizes["lo"] != sizes["hi"] or sizes["c"] % sizes["lo"]):
+        raise ValueError(f"windows of {sizes['lo']} to {sizes['hi']} microseconds do not add up to "
+                         f"windows of {coarse_window}")
     fine = (stats.withColumn("__cw", coarse)
             .select(*ks, F.col("__cw.start").alias("__cs"), F.col("__cw.end").alias("__ce"),
                     N, MEAN, M2, LO, HI))

@@ -53,10 +53,11 @@ def archive_readings(readings: DataFrame, path: str, time_col: str = "ts",
                      mode: str = "append", max_records_per_file: int = 5_000_000) -> None:
     """Append readings to a parquet archive partitioned by UTC ``date``.
 
-    No shuffle: each task sorts its own rows by date and writes one file per date it holds, so
-    a hot date is written by every task that has its rows, never funnelled into one.
+    The rows are rebalanced by date first: adaptive execution joins small dates in one task and
+    splits a hot date over several, so the number of files follows the data, not tasks x dates.
     """
     (readings.withColumn(DATE_COL, utc_date(readings, time_col))
+     .hint("rebalance", DATE_COL)
      .sortWithinPartitions(DATE_COL)
      .write.mode(mode).option("maxRecordsPerFile", int(max_records_per_file))
      .partitionBy(DATE_COL).parquet(path))

@@ -2,8 +2,7 @@
 
 * ``detect_file``: JSON-lines readings -> per device, 1-minute windows -> console lines.
   ``method='two_pass'`` is the buffered textbook job, ``'incremental'`` the running-moment one.
-* ``detect_generated``: generated readings (devices, per-device count, window seconds, window
-  count, spike probability, parallelism; seed 42) -> the incremental detector -> console lines.
+
 * ``watch_folder``: the same pipeline as a stream over JSON-lines files arriving in a folder.
 """
 
@@ -17,8 +16,6 @@ from pyspark.sql import DataFrame, SparkSession
 from ..functions.stats import DEFAULT_K
 from ..operators.detect import detect
 from ..sinks.lines import print_lines, write_lines
-from ..sources.generator import DEFAULT_SEED, generate_readings
-from ..sources.java_random import generate_java_readings
 from ..sources.readings import read_jsonl, with_event_time
 
 DEFAULT_WINDOW = "1 minute"
@@ -45,25 +42,6 @@ def detect_file(spark: SparkSession, path: str, window: str = DEFAULT_WINDOW, k:
     return _emit(anomalies_of_readings(readings, window, k, method), out_path)
 
 
-def generated_anomalies(spark: SparkSession, devices: int = 2000, per_device: int = 100,
-                        window_seconds: int = 60, windows: int = 1, p: float = 0.02,
-                        parallelism: int | None = None, seed: int = DEFAULT_SEED,
-                        rng: str = "hash", k: float = DEFAULT_K) -> DataFrame:
-    """Anomalies of generated readings; ``rng='java'`` reproduces the reference's exact stream."""
-    make = {"hash": generate_readings, "java": generate_java_readings}[rng]
-    readings = make(spark, devices, per_device, window_seconds * 1000, windows, p, seed,
-                    partitions=parallelism)
-    return anomalies_of_readings(readings, f"{int(window_seconds)} seconds", k)
-
-
-def detect_generated(spark: SparkSession, devices: int = 2000, per_device: int = 100,
-                     window_seconds: int = 60, windows: int = 1, p: float = 0.02,
-                     parallelism: int | None = None, rng: str = "hash",
-                     out_path: str | None = None) -> int | None:
-    return _emit(generated_anomalies(spark, devices, per_device, window_seconds, windows, p,
-                                     parallelism, rng=rng), out_path)
-
-
 def watch_folder(spark: SparkSession, path: str, checkpoint: str, window: str = DEFAULT_WINDOW,
                  k: float = DEFAULT_K, available_now: bool = False, out=None):
     """The reference's pipeline as a stream: JSON-lines files arriving in ``path`` -> 1 s
@@ -84,14 +62,7 @@ def main(argv: list[str] | None = None) -> int:
     f = sub.add_parser("file", help="detect on a JSON-lines file")
     f.add_argument("path")
     f.add_argument("--method", choices=["two_pass", "incremental"], default="two_pass")
-    g = sub.add_parser("generated", help="detect on generated readings")
-    for name, default, typ in [("devices", 2000, int), ("per_device", 100, int),
-                               ("window_seconds", 60, int), ("windows", 1, int),
-                               ("p", 0.02, float), ("parallelism", 0, int)]:
-        g.add_argument(name, nargs="?", default=default, type=typ)
-    g.add_argument("--rng", choices=["hash", "java"], default="hash")
-    for p_ in (f, g):
-        p_.add_argument("--out", default=None, help="write lines as text files instead of printing")
+    f.add_argument("--out", default=None, help="write lines as text files instead of printing")
     w = sub.add_parser("watch", help="detect on JSON-lines files arriving in a folder (a stream)")
     w.add_argument("path")
     w.add_argument("checkpoint")
@@ -100,11 +71,8 @@ def main(argv: list[str] | None = None) -> int:
     spark = local_session()
     if args.job == "watch":
         watch_folder(spark, args.path, args.checkpoint, available_now=args.once).awaitTermination()
-    elif args.job == "file":
-        detect_file(spark, args.path, method=args.method, out_path=args.out)
     else:
-        detect_generated(spark, args.devices, args.per_device, args.window_seconds, args.windows,
-                         args.p, args.parallelism or None, rng=args.rng, out_path=args.out)
+        detect_file(spark, args.path, method=args.method, out_path=args.out)
     return 0
 
 

@@ -20,9 +20,7 @@ from ..operators.detect import detect, flag_counts
 from ..operators.merge import merge_stats
 from ..operators.windows import window_stats
 from ..session import scratch_path
-from ..sinks.lines import LINE, with_lines
-from ..sources.generator import generate_for_devices
-from ..sources.java_random import generate_java_for_devices
+from ..sinks.lines import LINE, with_lines, write_lines
 from ..sources.readings import read_jsonl, to_readings, write_jsonl
 from ..streaming.detect_stream import detect_stream, start_to_files, window_stats_stream
 from .archive import archive_readings, replay
@@ -56,6 +54,13 @@ def merge_stats_q(spark: SparkSession, sf_dir: str) -> DataFrame:
                          F.round(STDDEV, 6).alias(STDDEV), "lo", "hi")
 
 
+def merge_hours_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    hourly = window_stats(_events(spark, sf_dir), "event_type", "ts", "value", "1 hour")
+    daily = merge_stats(hourly, "event_type", "1 day")
+    return daily.select("event_type", WINDOW_START, WINDOW_END, N, F.round(MEAN, 6).alias(MEAN),
+                        F.round(STDDEV, 6).alias(STDDEV), "lo", "hi")
+
+
 def constant_guard_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     # Every reading of an event type carries the same value: all windows have zero spread.
     ev = _events(spark, sf_dir).select(
@@ -70,6 +75,17 @@ def anomaly_lines_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     return with_lines(found, "event_type", "value", "millis").select("event_id", LINE)
 
 
+def lines_written_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The anomaly lines as the file sink wrote them."""
+    ev = _events(spark, sf_dir).select("event_id", "ts", "event_type", "value")
+    found = detect(ev, "event_type", "ts", "value", "1 day", 3.0)
+    path = scratch_path(spark, "lines")
+    write_lines(found.select(F.col("event_type").alias("deviceId"),
+                             F.col("value").alias("temperatureC"),
+                             epoch_millis("ts", T.TimestampNTZType()).alias("timestampMillis")), path)
+    return spark.read.text(path).withColumnRenamed("value", LINE)
+
+
 def readings_parse_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     ev = _events(spark, sf_dir)
     readings = to_readings(ev, F.concat_ws(":", "event_type", F.col("user_id").cast("string")),
@@ -79,31 +95,6 @@ def readings_parse_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_jsonl(spark, path).select("deviceId", "temperatureC", "timestampMillis")
 
 
-def _devices(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _events(spark, sf_dir).select(F.col("user_id").alias("device")).distinct()
-
-
-def generate_profile_q(spark: SparkSession, sf_dir: str) -> DataFrame:
-    g = generate_for_devices(_devices(spark, sf_dir), per_device=20, window_ms=60_000, windows=2,
-                             p=1.0, seed=42)
-    t = F.col("timestampMillis")
-    return (g.withColumn("window_start_ms", t - F.pmod(t, F.lit(60_000)))
-            .groupBy("deviceId", "window_start_ms")
-            .agg(F.count(F.lit(1)).alias("n"), F.min(t).alias("t_min"), F.max(t).alias("t_max"),
-                 F.sum((F.col("temperatureC") > 50).cast("long")).alias("n_spikes"),
-                 F.sum((F.col("temperatureC") < 40).cast("long")).alias("n_normal")))
-
-
-def generated_anomalies_q(spark: SparkSession, sf_dir: str) -> DataFrame:
-    g = generate_for_devices(_devices(spark, sf_dir), per_device=30, window_ms=10_000, windows=3,
-                             p=1.0, seed=42)
-    g = g.withColumn("ts", F.timestamp_millis("timestampMillis"))
-    found = detect(g, "deviceId", "ts", "temperatureC", "10 seconds", 3.0)
-    t = F.col("timestampMillis")
-    return found.select("deviceId", (t - F.pmod(t, F.lit(10_000))).alias("window_start_ms"), N,
-                        (F.col("temperatureC") > 50).alias("is_spike"))
-
-
 def _events_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The events table as a file stream: written once to the shared folder, then read back."""
     ev = _events(spark, sf_dir).select("event_id", "ts", "event_type", "value")
@@ -135,15 +126,6 @@ def stream_window_stats_q(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.round(STDDEV, 6).alias(STDDEV), "lo", "hi")
 
 
-def generated_java_anomalies_q(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Detection on the reference's exact random stream, for the devices of ``events``."""
-    g = generate_java_for_devices(_devices(spark, sf_dir), per_device=15, window_ms=10_000,
-                                  windows=2, p=0.3, seed=42)
-    g = g.withColumn("ts", F.timestamp_millis("timestampMillis"))
-    found = detect(g, "deviceId", "ts", "temperatureC", "10 seconds", 3.0)
-    return with_lines(found).select("deviceId", "timestampMillis", LINE)
-
-
 def replay_backfill_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "archive")
     archive_readings(_events(spark, sf_dir).select("event_id", "ts", "event_type", "value"), path)
@@ -159,14 +141,15 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "anomalies_by_user": _anomalies("user_id", "7 days", 3.0),
     "anomalies_sigma2": _anomalies("event_type", "1 day", 2.0),
     "anomalies_hourly": _anomalies("event_type", "1 hour", 3.0),
+    "anomalies_hourly_sigma2": _anomalies("event_type", "1 hour", 2.0),
+    "anomalies_6h": _anomalies("event_type", "6 hours", 3.0),
     "window_stats": window_stats_q,
     "merge_stats": merge_stats_q,
+    "merge_hours": merge_hours_q,
     "constant_guard": constant_guard_q,
     "anomaly_lines": anomaly_lines_q,
+    "lines_written": lines_written_q,
     "readings_parse": readings_parse_q,
-    "generate_profile": generate_profile_q,
-    "generated_anomalies": generated_anomalies_q,
-    "generated_java_anomalies": generated_java_anomalies_q,
     "stream_anomalies": stream_anomalies_q,
     "stream_window_stats": stream_window_stats_q,
     "replay_backfill": replay_backfill_q,
@@ -211,8 +194,11 @@ ORACLE_SQL: dict[str, str] = {
     "anomalies_by_user": _anomaly_sql("user_id", "7 days", 3.0),
     "anomalies_sigma2": _anomaly_sql("event_type", "1 day", 2.0),
     "anomalies_hourly": _anomaly_sql("event_type", "1 hour", 3.0),
+    "anomalies_hourly_sigma2": _anomaly_sql("event_type", "1 hour", 2.0),
+    "anomalies_6h": _anomaly_sql("event_type", "6 hours", 3.0),
     "window_stats": _stats_sql("1 day"),
     "merge_stats": _stats_sql("7 days"),
+    "merge_hours": _stats_sql("1 day"),
     "constant_guard": f"""
 WITH b AS (
   SELECT event_type, length(event_type) * 0.1 AS value, {_bucket('1 day')} AS window_start FROM events
@@ -234,23 +220,19 @@ SELECT event_id,
        || CAST(CAST(round(CAST(value AS DECIMAL(18, 6)), 1) AS DECIMAL(18, 1)) AS VARCHAR)
        || ' C, time ' || CAST(epoch_us(ts) // 1000 AS VARCHAR) AS line
 FROM a
+""",
+
+    "lines_written": f"""
+WITH a AS ({_anomaly_sql("event_type", "1 day", 3.0)})
+SELECT 'Device ' || event_type || ', measurement '
+       || CAST(CAST(round(CAST(value AS DECIMAL(18, 6)), 1) AS DECIMAL(18, 1)) AS VARCHAR)
+       || ' C, time ' || CAST(epoch_us(ts) // 1000 AS VARCHAR) AS line
+FROM a
 """,
     "readings_parse": """
 SELECT event_type || ':' || CAST(user_id AS VARCHAR) AS deviceId, value AS temperatureC,
        epoch_us(ts) // 1000 AS timestampMillis
 FROM events
-""",
-    "generate_profile": """
-SELECT printf('device-%04d', u.user_id) AS deviceId, CAST(w.w * 60000 AS BIGINT) AS window_start_ms,
-       CAST(20 AS BIGINT) AS n, CAST(w.w * 60000 AS BIGINT) AS t_min,
-       CAST(w.w * 60000 + 19 * 3000 AS BIGINT) AS t_max,
-       CAST(1 AS BIGINT) AS n_spikes, CAST(19 AS BIGINT) AS n_normal
-FROM (SELECT DISTINCT user_id FROM events) u, range(2) w(w)
-""",
-    "generated_anomalies": """
-SELECT printf('device-%04d', u.user_id) AS deviceId, CAST(w.w * 10000 AS BIGINT) AS window_start_ms,
-       CAST(30 AS BIGINT) AS n, true AS is_spike
-FROM (SELECT DISTINCT user_id FROM events) u, range(3) w(w)
 """,
     "stream_anomalies": _anomaly_sql(
         "event_type", "1 day", 3.0,

@@ -11,7 +11,7 @@ import re
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 _UNITS = {"": 1, "b": 1, "k": 1 << 10, "kb": 1 << 10, "m": 1 << 20, "mb": 1 << 20,
           "g": 1 << 30, "gb": 1 << 30, "t": 1 << 40, "tb": 1 << 40}
@@ -55,7 +55,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
-        if not sc.master.startswith("local"):
+        if not re.match(r"local($|\[)", sc.master):
             # A machine-local folder is not shared by the executors of a cluster.
             raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS, object store) "
                                "for the intermediates this job writes")
@@ -71,6 +71,17 @@ def scratch_path(spark: SparkSession, purpose: str) -> str:
     return f"{root}/sigmawatch/{purpose}-{uuid.uuid4().hex[:12]}"
 
 
+def written(df: DataFrame, purpose: str) -> DataFrame:
+    """``df`` written to a fresh folder below the shared checkpoint folder and read back.
+
+    The folder is unique, so no cached or earlier result can stand in for the rows, nothing needs
+    to be released, and the files outlive the executors that wrote them.
+    """
+    path = scratch_path(df.sparkSession, purpose)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def byte_size(text: str | None, default: int) -> int:
     """Parse a Spark byte-size setting such as ``10MB``, ``10485760b`` or ``-1``."""
     if text is None:
@@ -88,7 +99,3 @@ def broadcast_limit(spark: SparkSession) -> int:
     """Largest build side (bytes) we broadcast: the session's auto-broadcast threshold."""
     return byte_size(spark.conf.get("spark.sql.autoBroadcastJoinThreshold", "10MB"), 10 << 20)
 
-
-def local_path(path: str) -> str:
-    """Strip a ``file:`` scheme for Python-side file access in tests."""
-    return path[len("file:"):] if path.startswith("file:") else os.fspath(path)

@@ -1,12 +1,9 @@
-"""Reading sources: JSON-lines files, table mappings, generated readings."""
+"""Reading sources: JSON-lines files and table mappings."""
 
-from .generator import generate_for_devices, generate_readings
-from .java_random import generate_java_readings
 from .readings import (
     READING_COLUMNS, READING_SCHEMA, parse_lines, read_jsonl, read_jsonl_stream, to_readings,
     with_event_time, write_jsonl,
 )
 
-__all__ = ["READING_COLUMNS", "READING_SCHEMA", "generate_for_devices", "generate_java_readings",
-           "generate_readings", "parse_lines", "read_jsonl", "read_jsonl_stream", "to_readings",
-           "with_event_time", "write_jsonl"]
+__all__ = ["READING_COLUMNS", "READING_SCHEMA", "parse_lines", "read_jsonl", "read_jsonl_stream",
+           "to_readings", "with_event_time", "write_jsonl"]

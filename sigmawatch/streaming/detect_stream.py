@@ -58,6 +58,17 @@ def _as_ntz(c: Column) -> Column:
     return F.timestamp_add("MICROSECOND", F.unix_micros(c), F.expr(_EPOCH_NTZ))
 
 
+_PROVIDER = "spark.sql.streaming.stateStore.providerClass"
+_ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
+def ensure_disk_state(spark) -> None:
+    """Use RocksDB for streaming state where the session still has Spark's default, which keeps
+    every open window's readings on the executors' heap. A provider that was chosen stays."""
+    if spark.conf.get(_PROVIDER).endswith("HDFSBackedStateStoreProvider"):
+        spark.conf.set(_PROVIDER, _ROCKSDB)
+
+
 def window_stats_stream(readings: DataFrame, keys: str | Sequence[str], time_col: str,
                         value_col: str, window: str = "1 minute",
                         delay: str = DEFAULT_DELAY) -> DataFrame:
@@ -122,6 +133,7 @@ def detect_stream(readings: DataFrame, keys: str | Sequence[str], time_col: str,
 def start_to_files(stream: DataFrame, path: str, checkpoint: str, fmt: str = "parquet",
                    available_now: bool = True, processing_time: str | None = None) -> StreamingQuery:
     """Start an append-mode file sink with a checkpoint (exactly-once output, restartable)."""
+    ensure_disk_state(stream.sparkSession)
     writer = (stream.writeStream.format(fmt).option("path", path)
               .option("checkpointLocation", checkpoint).outputMode("append"))
     if processing_time:
@@ -139,6 +151,7 @@ def start_to_console(stream: DataFrame, checkpoint: str, available_now: bool = F
     """
     from ..sinks.lines import console_batch_writer
 
+    ensure_disk_state(stream.sparkSession)
     writer = (stream.writeStream.foreachBatch(console_batch_writer(out=out, **line_cols))
               .option("checkpointLocation", checkpoint).outputMode("append"))
     if processing_time:

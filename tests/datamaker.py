@@ -17,7 +17,7 @@ import math
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.format import device_id
+from sigmawatch.functions.format import device_id
 
 # Fixed values of the reference's generator model.
 BASELINE_CENTER_C = 20.0

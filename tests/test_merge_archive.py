@@ -73,7 +73,8 @@ def test_stream_archive_then_replay(spark):
     from conftest import jsonl
 
     from sigmawatch.plans.archive import archive_stream
-    from sigmawatch.sources import generate_readings, read_jsonl_stream
+    from datamaker import generate_readings
+    from sigmawatch.sources import read_jsonl_stream
 
     readings = generate_readings(spark, 30, 40, 86_400_000, 3, 0.5, 21)
     rows = [tuple(r) for r in readings.collect()]

@@ -52,7 +52,7 @@ def test_forced_shuffle_joins_are_not_broadcast(spark, how):
 def test_measure_counts_string_bytes(spark):
     df = spark.createDataFrame([("abcd", 1), ("ef", 2)], "k string, v long")
     size = measure(df)
-    assert size.rows == 2 and size.est_bytes == 2 * (8 + 16) + 6
+    assert size.rows == 2 and size.est_bytes == 2 * (32 + 16) + 6
 
 
 def test_scan_is_pruned(spark):

@@ -1,4 +1,4 @@
-"""JSON-lines reader, line format, and the generators (hash and Java-random)."""
+"""JSON-lines reader and line format."""
 
 from __future__ import annotations
 
@@ -10,11 +10,9 @@ from conftest import SAMPLE_LINE, jsonl
 from pyspark.sql import functions as F
 
 from sigmawatch.functions.format import anomaly_line
-from sigmawatch.plans.jobs import anomalies_of_readings, detect_file, generated_anomalies
+from sigmawatch.plans.jobs import detect_file
 from sigmawatch.sinks.lines import LINE, with_lines
-from sigmawatch.sources import generate_readings, read_jsonl, write_jsonl
-from sigmawatch.sources.generator import generate_for_devices
-from sigmawatch.sources.java_random import JavaRandom
+from sigmawatch.sources import read_jsonl, write_jsonl
 
 
 def write(tmp, name, text):
@@ -84,159 +82,3 @@ def test_line_rounding_matches_java_format(spark):
     got = [r[0] for r in df.select(anomaly_line(F.lit("d"), "v", F.lit(7))).collect()]
     assert got == ["Device d, measurement 0.3 C, time 7", "Device d, measurement 6.6 C, time 7",
                    "Device d, measurement 78.3 C, time 7"]
-
-
-# ---- hash generator ---------------------------------------------------------------------------
-
-def test_row_count(spark):
-    assert generate_readings(spark, 10, 20, 60000, 3, 0.1, 1).count() == 600
-
-
-def test_distinct_devices(spark):
-    df = generate_readings(spark, 50, 5, 60000, 1, 0.0, 2)
-    assert df.select("deviceId").distinct().count() == 50
-    assert df.filter(~F.col("deviceId").rlike(r"^device-\d{4}$")).count() == 0
-
-
-def test_time_bounds(spark):
-    df = generate_readings(spark, 3, 10, 60000, 4, 0.0, 3)
-    r = df.agg(F.min("timestampMillis"), F.max("timestampMillis")).first()
-    assert r[0] == 0 and r[1] == 3 * 60000 + 9 * 6000
-
-
-def test_no_spike_when_p_zero(spark):
-    df = generate_readings(spark, 20, 50, 60000, 2, 0.0, 4)
-    assert df.filter(F.col("temperatureC") >= 40).count() == 0
-
-
-def test_one_spike_per_device_and_window_when_p_one(spark):
-    df = generate_readings(spark, 15, 25, 60000, 2, 1.0, 5)
-    spikes = df.filter(F.col("temperatureC") > 50)
-    assert spikes.count() == 30
-    assert spikes.select("deviceId", (F.col("timestampMillis") / 60000).cast("int")).distinct().count() == 30
-
-
-def test_independent_of_partitioning(spark):
-    a = generate_readings(spark, 37, 11, 60000, 2, 0.3, 9, partitions=7)
-    b = generate_readings(spark, 37, 11, 60000, 2, 0.3, 9, partitions=2)
-    c = generate_for_devices(spark.range(37).withColumnRenamed("id", "device").repartition(5),
-                             11, 60000, 2, 0.3, 9)
-    rows = [sorted(tuple(r) for r in d.collect()) for d in (a, b, c)]
-    assert rows[0] == rows[1] == rows[2]
-
-
-def test_generation_spreads_over_partitions(spark):
-    df = generate_readings(spark, 16, 5, 60000, 1, 0.0, 11, partitions=4)
-    assert df.select(F.spark_partition_id()).distinct().count() == 4
-
-
-def test_noise_is_gaussian_like(spark):
-    df = generate_readings(spark, 2000, 100, 60000, 1, 0.0, 42)
-    r = df.groupBy("deviceId").agg(F.stddev_pop("temperatureC").alias("sd")).agg(
-        F.avg("sd")).first()
-    assert 0.28 < r[0] < 0.32
-
-
-@pytest.mark.parametrize("rng", ["hash", "java"])
-def test_detect_small_exact_spikes(spark, rng):
-    # 20 devices x 30, 10 s window, p = 1: exactly one flagged spike per device.
-    found = generated_anomalies(spark, 20, 30, 10, 1, 1.0, parallelism=4, seed=42, rng=rng)
-    rows = found.collect()
-    assert len(rows) == 20 and all(r.temperatureC > 50 for r in rows)
-
-
-def test_detect_scale_between_bounds(spark):
-    n = generated_anomalies(spark, 300, 50, 30, 1, 0.05, parallelism=4, seed=7).count()
-    assert 0 < n < 300
-
-
-def test_parameter_checks(spark):
-    for bad in [(0, 1, 1, 1, 0.1), (1, 0, 1, 1, 0.1), (1, 1, 0, 1, 0.1), (1, 1, 1, 0, 0.1),
-                (1, 1, 1, 1, 1.5)]:
-        with pytest.raises(ValueError):
-            generate_readings(spark, *bad)
-
-
-# ---- Java random stream: the reference's captured runs ------------------------------------------
-
-def test_java_random_known_values():
-    # First draws of java.util.Random(42), as published for the JDK.
-    r = JavaRandom(42)
-    assert r.next_int(10) == 0
-    r = JavaRandom(42)
-    assert r.next_double() == pytest.approx(0.7275636800328681, abs=0)
-    r = JavaRandom(42)
-    assert r.next_gaussian() == pytest.approx(1.1419053154730547, abs=1e-15)
-
-
-# The reference's captured run with arguments 20 15 10 1 0.3 4.
-SMALL_RUN = [
-    "Device device-0013, measurement 78.4 C, time 3996",
-    "Device device-0019, measurement 78.3 C, time 5994",
-    "Device device-0011, measurement 78.2 C, time 6660",
-    "Device device-0014, measurement 80.2 C, time 4662",
-    "Device device-0010, measurement 78.6 C, time 5328",
-]
-
-
-def test_java_stream_reproduces_small_run(spark):
-    found = generated_anomalies(spark, 20, 15, 10, 1, 0.3, parallelism=4, rng="java")
-    assert sorted(r[LINE] for r in with_lines(found).select(LINE).collect()) == sorted(SMALL_RUN)
-
-
-# The first lines of the reference's captured run at its defaults
-# (2000 100 60 1 0.02, seed 42), which printed 494 lines, 41 of them above 50 C.
-DEFAULT_RUN_FIRST_LINES = [
-    "Device device-1583, measurement 22.6 C, time 39600",
-    "Device device-1952, measurement 17.2 C, time 28200",
-    "Device device-1627, measurement 16.7 C, time 33600",
-    "Device device-1531, measurement 15.1 C, time 25200",
-    "Device device-1854, measurement 22.4 C, time 8400",
-    "Device device-1349, measurement 19.0 C, time 16200",
-    "Device device-1313, measurement 24.0 C, time 30600",
-]
-
-
-def test_java_stream_reproduces_default_run(spark):
-    found = with_lines(generated_anomalies(spark, 2000, 100, 60, 1, 0.02, parallelism=8, rng="java"))
-    got = sorted(r[LINE] for r in found.select(LINE).collect())
-    assert len(got) == 494
-    hot = [g for g in got if float(re.search(r"measurement (\S+) C", g).group(1)) > 50]
-    assert len(hot) == 41
-    assert set(DEFAULT_RUN_FIRST_LINES) <= set(got)
-
-
-def test_java_stream_scale_case(spark):
-    n = generated_anomalies(spark, 300, 50, 30, 1, 0.05, parallelism=4, seed=7, rng="java").count()
-    assert n == 51
-
-
-def test_readings_of_java_stream_are_reused_by_detection(spark):
-    # Same readings through both detection shapes give the same lines (modules 1 and 2 agree).
-    from sigmawatch.sources.java_random import generate_java_readings
-    r = generate_java_readings(spark, 50, 40, 60000, 2, 0.2, 3).cache()
-    a = with_lines(anomalies_of_readings(r, "1 minute", 3.0, "incremental")).select(LINE)
-    b = with_lines(anomalies_of_readings(r, "1 minute", 3.0, "two_pass")).select(LINE)
-    assert sorted(a.collect()) == sorted(b.collect())
-    r.unpersist()
-
-
-def test_generated_java_query_equals_brute_force(spark):
-    """The rows-only registered query, checked against plain Python on the smallest tables."""
-    import duckdb
-    from conftest import SF_SMALL
-    from test_detect import brute_force
-
-    from sigmawatch.plans.queries import QUERIES
-    from sigmawatch.sources.java_random import device_readings
-
-    users = [u for (u,) in duckdb.connect().execute(
-        f"SELECT DISTINCT user_id FROM '{SF_SMALL}/events.parquet'").fetchall()]
-    rows = []
-    for u in users:
-        ids, temps, times = device_readings(int(u), 15, 10_000, 2, 0.3, 42)
-        rows += list(zip(ids, temps, times))
-    expected = sorted((d, ms) for d, _, ms in brute_force(rows, 10_000, 3.0))
-    got = sorted((r.deviceId, r.timestampMillis)
-                 for r in QUERIES["generated_java_anomalies"](spark, SF_SMALL).collect())
-    assert got == expected and len(expected) > 0

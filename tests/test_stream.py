@@ -76,7 +76,7 @@ def test_restart_resumes_from_checkpoint(spark):
 
 
 def test_stream_equals_batch_on_closed_windows(spark):
-    from sigmawatch.sources.generator import generate_readings
+    from datamaker import generate_readings
     readings = generate_readings(spark, 40, 30, 60000, 4, 0.3, 13)
     root = fresh_dir("sw-sb-")
     src = os.path.join(root, "in")
@@ -156,7 +156,7 @@ def test_stream_keeps_time_column_and_null_keys(spark):
 
 def test_salted_join_state_gives_the_same_answer(spark):
     """A hot device holding over a third of the readings: unsalted, salted and batch agree."""
-    from sigmawatch.sources.generator import generate_readings
+    from datamaker import generate_readings
 
     cold = generate_readings(spark, 30, 20, 60000, 3, 0.5, 5)
     hot = generate_readings(spark, 1, 900, 60000, 3, 1.0, 6).withColumn(
