@@ -165,12 +165,8 @@ def test_interactions_are_learned_where_weights_cannot():
         rows.append(np.array([t for t, on in ((1, a), (2, b)) if on] + [3 + rng.integers(4)], np.int32))
         labels.append(int(a != b))
     machine = toxicity_fm.fit(rows, np.array(labels), 64)
-    machine = Machine_scores(machine, rows)
-    assert ((machine >= 0.5) == np.array(labels)).mean() > 0.9
-
-
-def Machine_scores(machine, rows):
-    return toxicity_fm.score_rows(machine, *machine.dense(), rows)
+    scores = toxicity_fm.score_rows(machine, *machine.dense(), rows)
+    assert ((scores >= 0.5) == np.array(labels)).mean() > 0.9
 
 
 def test_terms_do_not_depend_on_the_chunk():
