@@ -25,7 +25,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import materialise, shuffle_partitions, slices
@@ -331,20 +331,26 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX
             .select("doc_id", "fp", "component_id"))
 
 
-def fingerprint_hex(column="fp"):
-    return F.lpad(F.lower(F.hex(column)), 16, "0")
-
-
 def deduplicate(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS) -> DataFrame:
     """``docs`` with one row left of each component: the one with the smallest ``doc_id``.
 
     Of rows that repeat that id one stays (smallest text first). A component that holds only null
     ids keeps one row too. All columns of ``docs`` are kept as they are.
     """
-    members = near_duplicates(docs.select("doc_id", "text"), shingle, max_bits)
-    # Winners: a row per component. Null ids have no winner by id; they are settled by fingerprint.
-    winners = members.groupBy("doc_id", "component_id", "fp").agg(F.count(F.lit(1)).alias("_n"))
-    keep = (winners.filter(F.col("doc_id") == F.col("component_id"))
+    # A row without an id gets one above all others, from its text, for the time of this call.
+    top = docs.agg(F.max(F.col("doc_id").cast("long"))).first()[0] or 0
+    if top >= 1 << 62:
+        raise ValueError("ids of 2**62 and more leave no room for rows without an id")
+    own = F.lit(max(top, 0) + 1) + F.pmod(F.xxhash64("text"), F.lit(1 << 60))
+    named = docs.withColumn("_near_id", F.coalesce(F.col("doc_id").cast("long"), own))
+    members = near_duplicates(named.select(F.col("_near_id").alias("doc_id"), "text"), shingle, max_bits)
+    keep = (members.filter(F.col("doc_id") == F.col("component_id"))
             .select(F.col("doc_id").alias("_keep")).distinct())
-    kept = docs.join(keep, docs["doc_id"] == keep["_keep"], "left_semi")
-    return kept.dropDuplicates(["doc_id"])
+    kept = named.join(keep, named["_near_id"] == keep["_keep"], "left_semi")
+    first = Window.partitionBy("_near_id").orderBy("text")
+    return (kept.withColumn("_copy", F.row_number().over(first)).filter("_copy = 1")
+            .select(*docs.columns))
+
+
+def fingerprint_hex(column="fp"):
+    return F.lpad(F.lower(F.hex(column)), 16, "0")
