@@ -183,13 +183,12 @@ def test_nothing_to_fit_on():
 # ---- context mixing ---------------------------------------------------------------------------
 
 def small_model(texts):
-    counts = np.bincount(np.frombuffer(b"".join(texts) + b"\0" * len(texts), np.uint8), minlength=256)
-    code = context_mixing.Code.build(counts)
-    tables = [np.zeros((2, 1 << b)) for b in context_mixing.SLOT_BITS]
+    counts = np.zeros(1 << 16, np.int64)
     for data, fresh, _ in context_mixing.pieces(texts):
-        _, _, bit, slots, _ = context_mixing.decisions(data, fresh, code)
-        for t, s in zip(tables, slots, strict=True):
-            np.add.at(t, (bit.astype(int), s), 1)
+        np.add.at(counts, context_mixing.pairs(data, fresh), 1)
+    code = context_mixing.Code.build(counts)
+    tables = [np.zeros((2, 1 << b), np.uint32) for b in context_mixing.SLOT_BITS]
+    context_mixing.count_decisions(texts, code, tables)
     model = context_mixing.empty_model(code, [context_mixing.log_odds(*t) for t in tables])
     model.fit(texts)
     return model
@@ -202,10 +201,10 @@ def test_the_model_is_a_probability_distribution():
     data = [np.frombuffer(b"the ca" + bytes((c,)), np.uint8) for c in range(256)]
     total = 0.0
     for d in data:
-        pos, node, bit, slots, gate = context_mixing.decisions(d, np.array([0]), model.code)
+        node, bit, slots, gate, _ = context_mixing.decisions(d, np.array([0]), model.code)
         _, z = model._mixed(slots, gate)
         z = model._final(node, z)
-        last = pos == len(d) - 1
+        last = np.arange(len(z)) >= len(z) - model.code.length[int(d[-2]) * 256 + int(d[-1])]
         total += np.exp(-np.logaddexp(0, np.where(bit == 1, -z, z)[last].astype(float)).sum())
     assert total == pytest.approx(1.0, abs=1e-4)
     assert follow.max() < 0
