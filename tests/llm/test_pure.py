@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 import random
+import re
 from array import array
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import tiktoken
 import xxhash
@@ -183,31 +185,55 @@ def test_nothing_to_fit_on():
 # ---- context mixing ---------------------------------------------------------------------------
 
 def small_model(texts):
+    units, which, _ = context_mixing.distinct(texts)
+    times = np.bincount(which)
     counts = np.zeros(1 << 16, np.int64)
-    for data, fresh, _ in context_mixing.pieces(texts):
-        np.add.at(counts, context_mixing.pairs(data, fresh), 1)
+    for data, fresh, unit in context_mixing.parts(units):
+        np.add.at(counts, context_mixing.pairs(data, fresh),
+                  np.repeat(times[unit], np.diff(np.append(fresh, len(data)))))
     code = context_mixing.Code.build(counts)
-    tables = [np.zeros((2, 1 << b), np.uint32) for b in context_mixing.SLOT_BITS]
-    context_mixing.count_decisions(texts, code, tables)
-    model = context_mixing.empty_model(code, [context_mixing.log_odds(*t) for t in tables])
-    model.fit(texts)
-    return model
+    tables = [np.zeros((2, 1 << b), np.int64) for b in context_mixing.SLOT_BITS]
+    for data, fresh, unit in context_mixing.parts(units):
+        context_mixing._add(tables, data, fresh, times[unit], code)
+    return context_mixing.fitted(code, tables, texts[:10])
 
 
 def test_the_model_is_a_probability_distribution():
     model = small_model([b"the cat sat on the mat", b"the dog sat on the cat"] * 20)
-    follow = model.score([b"the ca" + bytes((c,)) for c in range(1, 256)])
-    # log10 P(prefix + c + end) over P(end | ...) is not needed: the bytes' own decisions sum to 1.
-    data = [np.frombuffer(b"the ca" + bytes((c,)), np.uint8) for c in range(256)]
+    # The decisions of the byte behind a beginning sum to 1 over all bytes.
     total = 0.0
-    for d in data:
-        node, bit, slots, gate, _ = context_mixing.decisions(d, np.array([0]), model.code)
-        _, z = model._mixed(slots, gate)
-        z = model._final(node, z)
+    for c in range(256):
+        d = np.frombuffer(b"ca" + bytes((c,)), np.uint8)
+        node, bit, slots, depth, _ = context_mixing.decisions(d, np.array([0]), model.code)
+        z = model._final(node, model._sum(*model._inputs(slots, depth)))
         last = np.arange(len(z)) >= len(z) - model.code.length[int(d[-2]) * 256 + int(d[-1])]
         total += np.exp(-np.logaddexp(0, np.where(bit == 1, -z, z)[last].astype(float)).sum())
     assert total == pytest.approx(1.0, abs=1e-4)
-    assert follow.max() < 0
+    assert model.score([b"the ca" + bytes((c,)) for c in range(1, 256)]).max() < 0
+
+
+def test_units_are_cut_and_counted_exactly():
+    long = b"x" * 1000
+    texts = [b"a b  a\n", b"", b"a b", long + b" " + long[:-1] + b"y " + long, b"\x00 \x1f a\x00"]
+    units, which, first = context_mixing.distinct(texts)
+    words = units.words()
+    for i, t in enumerate(texts):
+        end = first[i + 1] if i + 1 < len(first) else len(which)
+        here = [words[u] for u in which[first[i]:end]]
+        assert [w for w in here if w] == re.findall(rb"[^\x20\x09-\x0d]+", t)
+    again = context_mixing.from_binary(pa.concat_arrays([pa.array([b"zz"]), units.binary()])[1:])
+    assert again.words() == words
+    assert sum(len(d) for d, _, _ in context_mixing.parts(units)) == len(units.data)
+    assert len(context_mixing.distinct([])[1]) == 0
+
+
+def test_a_units_score_does_not_depend_on_its_slice():
+    rng = np.random.default_rng(2)
+    texts = [bytes(rng.choice(list(b"abcdef  \n"), int(n)).astype(np.uint8)) for n in rng.integers(0, 4000, 40)]
+    texts.append(b"q" * 100_000)
+    model = small_model(texts)
+    alone = [model.score([t])[0] for t in texts]
+    assert model.score(texts) == pytest.approx(alone, rel=1e-9)
 
 
 def test_learned_text_costs_less_and_company_does_not_matter():
