@@ -243,6 +243,47 @@ def test_learned_text_costs_less_and_company_does_not_matter():
     assert model.score([b"the cat sat on the cat"])[0] == pytest.approx(known)
 
 
+def counted_model(texts):
+    counts = np.zeros(1 << 16, np.int64)
+    for data, fresh, _, behind in context_mixing.runs(*context_mixing.joined(texts)):
+        counts += np.bincount(context_mixing.pairs(data, fresh), minlength=1 << 16)
+    code = context_mixing.Code.build(counts)
+    tables = [np.zeros((2, 1 << b), np.int64) for b in context_mixing.SLOT_BITS]
+    context_mixing.add_texts(tables, texts, code)
+    return context_mixing.fitted(code, tables, texts[:10])
+
+
+def test_contexts_reach_across_words():
+    model = counted_model([b"red apple falls down", b"blue house stands there"] * 40)
+    right, mixed = model.score([b"red apple falls down", b"down apple red falls"])
+    assert right > mixed + 1
+    # Only the word before tells these apart.
+    near, far = model.score([b"apple falls", b"house falls"])
+    own, other = model.score([b"apple ", b"house "])
+    assert near - own > far - other
+
+
+def test_pieces_do_not_cut_contexts(monkeypatch):
+    rng = np.random.default_rng(4)
+    texts = [bytes(rng.choice(list(b"abc  \n"), int(n)).astype(np.uint8)) for n in rng.integers(0, 40, 60)]
+    texts += [b"y" * 300 + bytes(rng.choice(list(b"abc"), 700).astype(np.uint8)) + b" z y", b"", b" "]
+
+    def all_contexts(size):
+        monkeypatch.setattr(context_mixing, "_CHUNK", size)
+        got = []
+        for data, fresh, _, behind in context_mixing.runs(*context_mixing.joined(texts)):
+            pair = context_mixing.pairs(data, fresh, behind)
+            ctx, depth = context_mixing.contexts(data, fresh, behind)
+            got.append(np.array([*ctx, depth.astype(np.uint64), pair.astype(np.uint64)]))
+        return np.concatenate(got, 1)
+
+    whole = all_contexts(1 << 20)
+    assert (all_contexts(1) == whole).all() and (all_contexts(7) == whole).all()
+    # No restart inside a long word: all its beginnings are different contexts.
+    start = sum(len(t) + 1 for t in texts[:60])
+    assert len(np.unique(whole[5, start:start + 1000])) == 1000
+
+
 # ---- graph search -----------------------------------------------------------------------------
 
 def test_graph_recall_and_duplicates():
