@@ -226,6 +226,25 @@ def test_language_model(spark, odd, none):
     assert context_mixing.language_model(none).count() == 0
 
 
+def test_language_model_is_fitted_on_whole_texts_of_a_growing_sample(spark):
+    words = ["alpha", "beta", "gamma", "delta"]
+    rows = [(i, " ".join(words[(i + j) % 4] for j in range(300)) + f" end{i}") for i in range(1500)]
+    rows += [(7777, "the same text again")] * 300
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    chosen, others, tasks = context_mixing.fit_sample(docs, fit_rows=5)
+    got = chosen.collect()
+    # One in 32, however few rows a task has; whole texts; with the others every row once.
+    texts = collections.Counter(r["text"] for r in got)
+    fresh = {t: n for t, n in texts.items() if t != "the same text again"}
+    assert 25 <= len(fresh) <= 75 and tasks == round(1800 / 32 / 5)
+    assert texts + collections.Counter(r["text"] for r in others.collect()) == collections.Counter(t for _, t in rows)
+    assert all(t.split()[-1].startswith("end") for t in fresh)
+    assert {r["_task"] for r in got} <= set(range(tasks))
+    model = context_mixing.train(docs, fit_rows=5)
+    assert np.isfinite(model.weights).all() and np.isfinite(model.refine).all()
+    assert (model.weights != np.float32(0.25)).any()
+
+
 def held(i):
     import zlib
     return zlib.crc32(str(i).encode()) % 7 == 2
