@@ -47,6 +47,19 @@ _SCHEME = re.compile(r"[A-Za-z][A-Za-z0-9+.-]*\Z")
 _URL = re.compile(r"[^\s<>\"]*")
 _IDENTIFIER = re.compile(r"\s{0,3}(?:no\.?|number|nr\.?|id)?\s{0,3}[:#=]\s{0,3}([A-Za-z0-9][A-Za-z0-9-]*)",
                          re.IGNORECASE)
+# Between a cue and a value that proves itself, so that no separator is needed.
+_LEAD = re.compile(r"\s{0,3}(?:(?:no\.?|number|nr\.?|id)(?![A-Za-z0-9]))?\s{0,3}[:#=]?\s{0,3}", re.IGNORECASE)
+# In one piece, or printed in groups of four.
+_IBAN = re.compile(r"[A-Za-z]{2}[0-9]{2}(?:[A-Za-z0-9]{11,30}(?![A-Za-z0-9])"
+                   r"|(?:[\x20-][A-Za-z0-9]{4}){2,7}(?:[\x20-][A-Za-z0-9]{1,3})?(?![A-Za-z0-9]))")
+_SSN = re.compile(r"(?!000|666|9)[0-9]{3}-(?!00)[0-9]{2}-(?!0000)[0-9]{4}(?![A-Za-z0-9-])")
+#: Length of an IBAN by country.
+_IBAN_LENGTHS = {c[:2]: int(c[2:]) for c in (
+    "AD24 AE23 AL28 AT20 AZ28 BA20 BE16 BG22 BH22 BR29 BY28 CH21 CR22 CY28 CZ24 DE22 DK18 DO28 EE20 "
+    "EG29 ES24 FI18 FO18 FR27 GB22 GE22 GI23 GL18 GR27 GT28 HR21 HU28 IE22 IL23 IQ23 IS26 IT27 JO30 "
+    "KW30 KZ20 LB28 LC32 LI21 LT20 LU20 LV21 LY25 MC27 MD24 ME22 MK19 MR27 MT31 MU30 NL18 NO15 PK24 "
+    "PL28 PS29 PT25 QA29 RO24 RS22 SA24 SC31 SE24 SI19 SK24 SM27 ST25 SV28 TL23 TN24 TR26 UA29 VA22 "
+    "VG24 XK20").split()}
 _PRIVATE_QUERY = re.compile(r"[?&;](?:e?mail|phone|user|token|ssn)=[^&#;]+", re.IGNORECASE)
 
 Span = tuple[int, int, int]  # kind number, start, end (code points, end exclusive)
@@ -57,13 +70,21 @@ def _automaton() -> ahocorasick.Automaton:
     for mark in ("@", "://", "+", *"0123456789"):
         found.add_word(mark, mark if len(mark) == 1 else "://")
     for cue in CUES:
-        # The automaton is exact, so each cue is held in its usual cases.
-        for form in {cue, cue.upper(), cue.capitalize(), cue.title()}:
-            found.add_word(form, "cue")
+        found.add_word(cue, "cue")
     found.make_automaton()
     return found
 
 
+_LOWER = {c: c + 32 for c in range(65, 91)}
+
+
+def _folded(text: str) -> str:
+    """``text`` in lower case, character for character: the automaton is exact."""
+    low = text.lower()
+    # Few capitals become two characters.
+    return low if len(low) == len(text) else text.translate(_LOWER)
+
+
 def luhn(digits: str) -> bool:
     total = 0
     for i, c in enumerate(reversed(digits)):
@@ -74,6 +95,21 @@ def luhn(digits: str) -> bool:
     return total % 10 == 0
 
 
+def _iban_end(text: str, at: int) -> int | None:
+    """End of the valid IBAN at ``at``. Words behind one in groups may look like groups of it."""
+    m = _IBAN.match(text, at)
+    if not m:
+        return None
+    end = m.end()
+    while end > at:
+        value = text[at:end].replace(" ", "").replace("-", "").upper()
+        if _IBAN_LENGTHS.get(value[:2], len(value)) == len(value) >= 15 and int(
+                "".join(str(int(c, 36)) for c in value[4:] + value[:4])) % 97 == 1:
+            return end
+        end = max(text.rfind(" ", at, end), text.rfind("-", at, end))
+    return None
+
+
 def _valid_ip(text: str) -> bool:
     return all(len(p) < 20 and int(p) <= 255 for p in text.split("."))
 
@@ -110,7 +146,7 @@ class Finder:
         spans: list[Span] = []
         email_end = ip_end = card_end = phone_end = 0  # ends of the runs already parsed
         ends = 0  # end of the last e-mail match: the next one starts at it or later
-        for at, mark in self.automaton.iter(text):
+        for at, mark in self.automaton.iter(_folded(text)):
             if mark == "@":
                 if at < email_end:
                     continue
@@ -167,12 +203,18 @@ class Finder:
 
     @staticmethod
     def _account(text: str, at: int, spans: list[Span]) -> None:
+        start, end = _LEAD.match(text, at).end(), 0
+        if not text[start - 1].isalnum():
+            ssn = _SSN.match(text, start)
+            end = ssn.end() if ssn else _iban_end(text, start) or 0
         m = _IDENTIFIER.match(text, at)
         if m:
             value = m.group(1)
             digits = sum(c.isdigit() and c.isascii() for c in value)
-            if 6 <= len(value) <= 40 and digits >= 4:
-                spans.append((5, m.start(1), m.end(1)))
+            if 6 <= len(value) <= 40 and digits >= 4 and m.end(1) > end:
+                start, end = m.span(1)
+        if end:
+            spans.append((5, start, end))
 
     @staticmethod
     def _merge(spans: list[Span]) -> list[Span]:

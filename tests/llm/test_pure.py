@@ -97,6 +97,22 @@ def test_added_kinds():
     assert kinds == {"url": "https://bob:pw@host.example/x", "account": "DE12500105170648"}
 
 
+@pytest.mark.parametrize("text, value", [
+    ("Customer ID: 884213", "884213"), ("User ID: abc12345", "abc12345"), ("mEMBER iD = 774411", "774411"),
+    ("\u0130 Member ID: 774411", "774411"),
+    ("IBAN DE89370400440532013000", "DE89370400440532013000"),
+    ("IBAN: DE89 3704 0044 0532 0130 00 and then", "DE89 3704 0044 0532 0130 00"),
+    ("iban no. NO93 8601 1117 947 with more text", "NO93 8601 1117 947"),
+    ("IBAN GB82-WEST-1234-5698-7654-32.", "GB82-WEST-1234-5698-7654-32"),
+    ("SSN 123-45-6789", "123-45-6789"), ("IBAN: DE89370400440532013000-123", "DE89370400440532013000-123"),
+    ("IBAN GB82 WEST 1234 5698 7654 33", None), ("account for 2019", None), ("passport X1234567", None),
+    ("SSN 000-45-6789", None)])
+def test_usual_forms_of_accounts(text, value):
+    spans = pii_anchors.Finder()(text)
+    assert [text[a:b] for k, a, b in spans if pii_anchors.KINDS[k] == "account"] == ([value] if value else [])
+    assert value is None or value not in pii_anchors.redact(text, spans)
+
+
 # ---- BPE --------------------------------------------------------------------------------------
 
 @pytest.fixture(scope="module")
