@@ -111,7 +111,8 @@ def _iban_end(text: str, at: int) -> int | None:
 
 
 def _valid_ip(text: str) -> bool:
-    return all(len(p) < 20 and int(p) <= 255 for p in text.split("."))
+    parts = [p.lstrip("0") for p in text.split(".")]
+    return all(len(p) <= 3 and int(p or 0) <= 255 for p in parts)
 
 
 def _valid_card(text: str) -> bool:

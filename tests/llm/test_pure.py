@@ -97,6 +97,13 @@ def test_added_kinds():
     assert kinds == {"url": "https://bob:pw@host.example/x", "account": "DE12500105170648"}
 
 
+def test_leading_zeros_do_not_matter_in_addresses():
+    find = pii_anchors.Finder()
+    for text, valid in (("0" * 30 + "1.2.3.4", True), ("1.2.3." + "0" * 5000, True), ("0.0.0.0", True),
+                        ("0" * 30 + "256.2.3.4", False), ("1.2.3." + "9" * 5000, False)):
+        assert [s for s in find(text) if s[0] == 1] == ([(1, 0, len(text))] if valid else [])
+
+
 @pytest.mark.parametrize("text, value", [
     ("Customer ID: 884213", "884213"), ("User ID: abc12345", "abc12345"), ("mEMBER iD = 774411", "774411"),
     ("\u0130 Member ID: 774411", "774411"),
