@@ -2,7 +2,8 @@
 
 The mix takes as many words as the corpus has. Each source's target is its weight's share of them,
 at most ``max_repeats`` times its own size; what is cut off goes to the other sources by weight.
-The mix is dealt in blocks of ``block`` words: first the blocks are apportioned to the sources,
+The mix is dealt in blocks of ``block`` words, of fewer where some source's target is not many
+blocks (down to single words), so small sources get their share too: first the blocks are apportioned to the sources,
 then each source's blocks to its shards, both by highest quotients ``votes / (2 * seats + 1)``, so
 every (source, shard) gets an integer quota. Within a shard the documents lie in a seeded order
 and are cut into blocks; a quota of ``a`` full rounds and ``r`` blocks takes every block ``a``
@@ -24,9 +25,11 @@ from .common import block_offsets, materialise, ranked_blocks
 
 WEIGHTS = (5, 2, 1)
 MAX_REPEATS = 3
-#: Words of a block, and words of a shard (a shard's documents meet in one task).
+#: Words of a block at most, and words of a shard (a shard's documents meet in one task).
 BLOCK = 64
 SHARD_WORDS = 500_000
+#: Blocks that the smallest positive target has at least, as far as words can be cut.
+LEAST_BLOCKS = 64
 SEED = 29
 #: Seats around its rounded-down share that a party competes for at first.
 MARGIN = 3
@@ -130,10 +133,12 @@ def mix(docs: DataFrame, weights=WEIGHTS, max_repeats: int = MAX_REPEATS, block:
     sized = materialise(docs.select("doc_id", "source", word_count().alias("size")), "mix-sizes")
     aims = targets(sized.groupBy("source").agg(F.sum("size").alias("source_size")),
                    weights, max_repeats)
+    sums = aims.agg(F.sum("target").alias("t"), F.min(F.when(F.col("target") > 0, F.col("target"))).alias("m")).first()
+    block = max(1, min(block, int((sums["m"] or 0.0) // LEAST_BLOCKS)))
     blocks = F.ceil(F.col("source_size") / F.lit(block))
     votes = aims.select("*", F.col("target").alias("votes"),
                         F.lit(0).cast("long").alias("_house"))
-    house = int(round((aims.agg(F.sum("target")).first()[0] or 0.0) / block))
+    house = int(round((sums["t"] or 0.0) / block))
     votes = votes.withColumn("_house", F.lit(house).cast("long"))
     of_source = _seats(votes, ["source"], [], "mix-quota").select(
         "source", "source_size", "target", F.least("seats", blocks * max_repeats).alias("_quota"),

@@ -124,6 +124,19 @@ def test_mix(spark, odd, none):
     assert apportion.mixed(odd).columns == odd.columns
 
 
+def test_mix_takes_small_sources(spark):
+    sizes = [("a", 100, 60), ("b", 8, 1), ("c", 13, 5), ("d", 1, 1), ("e", 3, 4), ("f", 50, 40)]
+    docs = docs_frame(spark, [(100 * k + i, "w " * n, s) for k, (s, n, many) in enumerate(sizes) for i in range(many)])
+    taken, targets = collections.Counter(), {}
+    for r in apportion.mix(docs).collect():
+        assert 0 <= r.taken <= 3 * r.size
+        taken[r.source] += r.taken
+        targets[r.source] = r.target
+    for s, target in targets.items():
+        assert abs(taken[s] - target) <= 1 + 0.02 * target, s
+    assert {r.source for r in apportion.mixed(docs).select("source").distinct().collect()} == set("abcdef")
+
+
 def test_chat(spark):
     rows = [(1, 0, "user", "hi"), (1, 1, "assistant", None), (2, 1, None, "</turn>"), (2, 0, "assistant", "x\\"),
             (None, 0, "user", "lost"), (3, 0, "assistant", "same"), (3, 0, "assistant", "same")]
