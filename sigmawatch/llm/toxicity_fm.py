@@ -151,7 +151,8 @@ def fit(rows: list[np.ndarray], labels: np.ndarray, buckets: int = BUCKETS,
             used, where = np.unique(idx, return_inverse=True)
             dw = np.bincount(where, each, len(used)) + DECAY * w[used] * len(part)
             pull = each[:, None] * (sums.astype(np.float32)[row] - vi)
-            dv = np.stack([np.bincount(where, pull[:, f], len(used)) for f in range(FACTORS)], 1)
+            # Without any term the counts are of whole numbers.
+            dv = np.stack([np.bincount(where, pull[:, f], len(used)) for f in range(FACTORS)], 1).astype(float)
             dv += DECAY * v[used] * len(part)
             gw[used] += dw * dw
             gv[used] += dv * dv
@@ -182,8 +183,9 @@ def train(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_FIT_ROWS, seed
     """Fit a machine on at most ``max_rows`` labelled rows of ``docs`` that are not held out.
 
     ``labels``: ``doc_id, toxic``; a null id or label is left out, and of repeated ids the highest
-    label counts. The rows are those with the smallest seeded hash of their id, so the sample does
-    not depend on the order or the partitions. The terms are made in parallel; the bounded sample
+    label counts. The ids are those with the smallest seeded hash, so the sample does not depend on
+    the order or the partitions; rows that repeat in id and text are fitted once, and of ids with
+    several texts the rows with the smallest seeded hash are taken. The terms are made in parallel; the bounded sample
     is fitted in one task and only the weights reach the driver.
     """
     known = (labels.select("doc_id", "toxic").dropna().filter(~held_out())
@@ -193,6 +195,15 @@ def train(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_FIT_ROWS, seed
     # At most max_rows rows of three numbers: a proven size.
     picked = F.broadcast(materialise(chosen, "fm-sample"))
     sample = docs.select("doc_id", F.col("text").cast("string").alias("text")).join(picked, "doc_id")
+    # Copies of a row count once, added up before the shuffle; the ids bound the rows only if none
+    # repeats with other texts, so the rows are bounded as well.
+    sample = materialise(sample.groupBy("_h", "doc_id", "_y", F.xxhash64("text").alias("_t"))
+                         .agg(F.min("text").alias("text")), "fm-texts")
+    if sample.count() > max_rows:
+        chosen_rows = (sample.select("doc_id", "_t").orderBy(F.xxhash64(F.lit(seed), "doc_id", "_t"), "doc_id", "_t")
+                       .limit(max_rows))
+        kept = F.broadcast(materialise(chosen_rows, "fm-rows"))
+        sample = sample.join(kept, ["doc_id", "_t"])
 
     def terms_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         terms = Terms()

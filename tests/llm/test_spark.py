@@ -124,6 +124,24 @@ def test_mix(spark, odd, none):
     assert apportion.mixed(odd).columns == odd.columns
 
 
+def test_fitting_rows_are_bounded_when_ids_repeat(spark, monkeypatch):
+    import zlib
+    # One id with a third of the rows (copies) and one with many texts.
+    rows = [(i, f"word{i} text") for i in range(40)] + [(50, "the same text")] * 40 + [(61, f"other {i}") for i in range(40)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in [*range(40), 50, 61]], "doc_id long, toxic int")
+    counts = {}
+    for most in (25, 1000):
+        # The machine tells how many rows it was fitted on.
+        monkeypatch.setattr(toxicity_fm, "fit", lambda r, y, *a: toxicity_fm.Machine(
+            float(len(r)), np.zeros(0, np.int32), np.zeros(0, np.float32),
+            np.zeros((0, toxicity_fm.FACTORS), np.float32), toxicity_fm.BUCKETS))
+        counts[most] = toxicity_fm.train(docs, labels, most).bias
+    held = {i for i in [*range(40), 50, 61] if zlib.crc32(str(i).encode()) % 4 == 2}
+    whole = len({r for r in rows if r[0] not in held})
+    assert counts == {25: 25.0, 1000: float(whole)}
+
+
 def test_mix_takes_small_sources(spark):
     sizes = [("a", 100, 60), ("b", 8, 1), ("c", 13, 5), ("d", 1, 1), ("e", 3, 4), ("f", 50, 40)]
     docs = docs_frame(spark, [(100 * k + i, "w " * n, s) for k, (s, n, many) in enumerate(sizes) for i in range(many)])
