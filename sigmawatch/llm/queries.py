@@ -80,4 +80,27 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_sainte_lague_mix": op10_sainte_lague_mix,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+# The five rules of op2_url_sweep; a host fits its subdomains, the longest rule wins.
+ORACLE_SQL: dict[str, str] = {"op2_url_sweep": """
+WITH rules(action, rule_host, rule_path) AS (VALUES
+    ('allow', 'com', '/'), ('block', 'example.com', '/en/'), ('allow', 'www.example.com', '/en/'),
+    ('block', 'net', '/es/'), ('block', 'net', '/fr/')),
+cut AS (
+    SELECT row_number() OVER () AS r, page_id, coalesce(strpos(url, '://') > 0, false) AS known,
+           substr(url, strpos(url, '://') + 3) AS rest
+    FROM pages),
+urls AS (
+    SELECT r, page_id,
+           CASE WHEN known THEN translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                                          'abcdefghijklmnopqrstuvwxyz') ELSE '' END AS host,
+           CASE WHEN known THEN regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) ELSE '' END AS path
+    FROM cut),
+ranked AS (
+    SELECT u.*, rule_host || rule_path AS rule, action,
+           row_number() OVER (PARTITION BY r ORDER BY length(rule_host) + length(rule_path) DESC NULLS LAST,
+                              length(rule_host) DESC NULLS LAST) AS place
+    FROM urls u LEFT JOIN rules ON (host = rule_host OR ends_with(host, '.' || rule_host))
+                               AND starts_with(path, rule_path))
+SELECT page_id, host, path, rule, coalesce(action, 'allow') AS verdict
+FROM ranked WHERE place = 1
+"""}

@@ -155,6 +155,23 @@ def test_mix_takes_small_sources(spark):
     assert {r.source for r in apportion.mixed(docs).select("source").distinct().collect()} == set("abcdef")
 
 
+def test_url_sweep_equals_its_oracle_sql(spark, tmp):
+    import duckdb
+    from sigmawatch.llm.queries import ORACLE_SQL, op2_url_sweep
+    urls = ["http://EXAMPLE.com/en/x?q", "https://www.example.com/en/", "a://b.www.example.com/en/#f", "x.net/es/",
+            "http://x.net/es/a", "http://net/fr/", "http://example.com./en/", "http://notexample.com/en/",
+            "http://com", "http://com/", "no scheme", "", None, "://", "http://\u00c9.com/en/", "h://a.net/ES/",
+            "http://x.net?/es/", "h://x.net/a://b.com/", "h://a\nb.com/\n/x"]
+    rows = [(i, u) for i, u in enumerate(urls)] + [(None, urls[0]), (3, urls[0]), (3, urls[0])]
+    spark.createDataFrame(rows, "page_id long, url string").write.parquet(f"{tmp}/pages.parquet")
+    for sf_dir, files in ((tmp, f"{tmp}/pages.parquet/*.parquet"),
+                          ("/root/testdata/sf0.01", "/root/testdata/sf0.01/pages.parquet")):
+        con = duckdb.connect()
+        con.execute(f"CREATE VIEW pages AS SELECT * FROM read_parquet('{files}')")
+        want = collections.Counter(con.execute(ORACLE_SQL["op2_url_sweep"]).fetchall())
+        assert collections.Counter(tuple(r) for r in op2_url_sweep(spark, sf_dir).collect()) == want
+
+
 def test_chat(spark):
     rows = [(1, 0, "user", "hi"), (1, 1, "assistant", None), (2, 1, None, "</turn>"), (2, 0, "assistant", "x\\"),
             (None, 0, "user", "lost"), (3, 0, "assistant", "same"), (3, 0, "assistant", "same")]
