@@ -11,7 +11,6 @@ import pytest
 from conftest import SF_SMALL
 
 entry = importlib.import_module("__spark_entry__")
-TABLES = ["events"]
 
 
 def normalise(v):
@@ -28,8 +27,9 @@ def rows_by_name(rows, cols):
 @pytest.fixture(scope="module")
 def duck():
     con = duckdb.connect()
-    for t in TABLES:
-        con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{os.path.join(SF_SMALL, t)}.parquet')")
+    for file in sorted(f for f in os.listdir(SF_SMALL) if f.endswith(".parquet")):
+        con.execute(f"CREATE VIEW {file.removesuffix('.parquet')} AS "
+                    f"SELECT * FROM read_parquet('{os.path.join(SF_SMALL, file)}')")
     return con
 
 
