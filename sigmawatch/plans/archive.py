@@ -8,7 +8,6 @@ edge of the range is computed from all of its readings, never from a cut.
 from __future__ import annotations
 
 import datetime as dt
-import re
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -16,26 +15,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from ..functions.durations import duration_millis
 from ..functions.stats import DEFAULT_K, WINDOW_END, WINDOW_START
 from ..operators.detect import detect
 
 DATE_COL = "date"
-_UNIT_MS = {"millisecond": 1, "second": 1000, "minute": 60_000, "hour": 3_600_000,
-            "day": 86_400_000, "week": 7 * 86_400_000}
-
-
-def duration_millis(duration: str) -> int:
-    """Milliseconds of a fixed-length window duration such as ``'7 days'`` or ``'1 hour 30 minutes'``."""
-    parts = re.findall(r"(\d+)\s*([a-zA-Z]+)", duration)
-    if not parts or re.sub(r"(\d+)\s*([a-zA-Z]+)", "", duration).strip():
-        raise ValueError(f"unsupported duration {duration!r}")
-    total = 0
-    for number, unit in parts:
-        unit = unit.lower().rstrip("s")
-        if unit not in _UNIT_MS:
-            raise ValueError(f"unsupported unit {unit!r} in {duration!r}")
-        total += int(number) * _UNIT_MS[unit]
-    return total
 
 
 def utc_date(df: DataFrame, time_col: str):

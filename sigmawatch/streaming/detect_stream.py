@@ -161,9 +161,27 @@ def start_to_console(stream: DataFrame, checkpoint: str, available_now: bool = F
     return writer.start()
 
 
+def start_to_lines(stream: DataFrame, path: str, checkpoint: str, available_now: bool = True,
+                   processing_time: str | None = None, **line_cols) -> StreamingQuery:
+    """Write each micro-batch's anomaly lines below ``path`` (see :func:`sinks.lines.line_batch_writer`):
+    from the tasks, each line once however often a batch is run."""
+    from ..sinks.lines import line_batch_writer
+
+    ensure_disk_state(stream.sparkSession)
+    writer = (stream.writeStream.foreachBatch(line_batch_writer(path, **line_cols))
+              .option("checkpointLocation", checkpoint).outputMode("append"))
+    if processing_time:
+        writer = writer.trigger(processingTime=processing_time)
+    elif available_now:
+        writer = writer.trigger(availableNow=True)
+    return writer.start()
+
+
 def rows_dropped_by_watermark(query: StreamingQuery) -> int:
-    """Late rows dropped, from the query's recent progress (the first stateful operator's count;
-    every stateful operator drops the same late row)."""
+    """Late rows dropped, from the query's recent progress (its last hundred batches; for a whole run
+    see :func:`sigmawatch.streaming.counting_late_rows`). A batch counts by its largest operator, as
+    every stateful operator drops the same late row; an aggregate counts rows that its map tasks have
+    already combined per group, a join single readings."""
     total = 0
     for progress in query.recentProgress:
         ops = progress.get("stateOperators") or []
