@@ -52,3 +52,22 @@ def merge_stats(stats: DataFrame, keys: str | Sequence[str], coarse_window: str)
     )
     return (merged.withColumnRenamed("__cs", WINDOW_START).withColumnRenamed("__ce", WINDOW_END)
             .withColumn(STDDEV, F.sqrt(F.col(M2) / F.col(N))))
+
+
+def merge_parts(parts: DataFrame, group: list[str]) -> DataFrame:
+    """Merge rows of partial moments (``n, mean, m2, lo, hi``) per ``group``: total count and mean in a first aggregate, the
+    squares about that mean in a second. Both aggregate in the map tasks first, so a group with very
+    many parts is never in one place."""
+    total = parts.groupBy(*group).agg(
+        F.sum(N).alias(N), (F.sum(F.col(N) * F.col(MEAN)) / F.sum(N)).alias(MEAN),
+        F.min(LO).alias(LO), F.max(HI).alias(HI))
+    both = parts.select(*[F.col(c).alias(f"__{c}") for c in group], F.col(N).alias("__n"),
+                        F.col(MEAN).alias("__mean"), F.col(M2).alias("__m2"))
+    same = F.lit(True)
+    for c in group:
+        same = same & total[c].eqNullSafe(both[f"__{c}"])
+    inner, between = merged_moments("__n", "__mean", "__m2", F.col(N), F.col(MEAN))
+    merged = (total.join(both, same).groupBy(*group)
+              .agg(F.any_value(N).alias(N), F.any_value(MEAN).alias(MEAN),
+                   (F.sum(inner) + F.sum(between)).alias(M2), F.any_value(LO).alias(LO), F.any_value(HI).alias(HI)))
+    return merged.withColumn(STDDEV, F.sqrt(F.col(M2) / F.col(N)))

@@ -24,6 +24,11 @@ from ..sinks.lines import LINE, with_lines, write_lines
 from ..sources.readings import read_jsonl, to_readings, write_jsonl
 from ..streaming.detect_stream import detect_stream, start_to_files, window_stats_stream
 from .archive import archive_readings, replay
+from .oracle import anomaly_sql, bucket, stats_sql
+from .store_queries import ORACLE_SQL as STORE_SQL
+from .store_queries import QUERIES as STORE_QUERIES
+from .stream_queries import ORACLE_SQL as STREAM_SQL
+from .stream_queries import QUERIES as STREAM_QUERIES
 
 ANOMALY_COLS = ["event_type", WINDOW_START, "event_id", "ts", "value", N]
 
@@ -153,55 +158,28 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "stream_anomalies": stream_anomalies_q,
     "stream_window_stats": stream_window_stats_q,
     "replay_backfill": replay_backfill_q,
+    **STREAM_QUERIES,
+    **STORE_QUERIES,
 }
 
 
 # ---- DuckDB oracles ---------------------------------------------------------------------------
 
-def _bucket(width: str, col: str = "ts") -> str:
-    return f"time_bucket(INTERVAL '{width}', {col}, TIMESTAMP '1970-01-01 00:00:00')"
-
-
-def _anomaly_sql(key: str, width: str, k: float, where: str = "", extra: str = "") -> str:
-    return f"""
-WITH b AS (
-  SELECT {key}, event_id, ts, value, {_bucket(width)} AS window_start FROM events {where}
-), s AS (
-  SELECT {key} AS s_key, window_start AS s_ws, count(value) AS n, avg(value) AS mean,
-         stddev_pop(value) AS sd, min(value) AS lo, max(value) AS hi
-  FROM b GROUP BY {key}, window_start
-)
-SELECT b.{key}, b.window_start, b.event_id, b.ts, b.value, s.n
-FROM b JOIN s ON b.{key} = s.s_key AND b.window_start = s.s_ws
-WHERE s.n >= 2 AND s.hi > s.lo AND abs(b.value - s.mean) > {k} * s.sd {extra}
-"""
-
-
-def _stats_sql(width: str) -> str:
-    return f"""
-SELECT event_type, {_bucket(width)} AS window_start,
-       {_bucket(width)} + INTERVAL '{width}' AS window_end,
-       count(value) AS n, round(avg(value), 6) AS mean, round(stddev_pop(value), 6) AS stddev,
-       min(value) AS lo, max(value) AS hi
-FROM events GROUP BY ALL
-"""
-
-
 ORACLE_SQL: dict[str, str] = {
-    "anomalies_incremental": _anomaly_sql("event_type", "1 day", 3.0),
-    "anomalies_two_pass": _anomaly_sql("event_type", "1 day", 3.0),
-    "anomalies_weekly": _anomaly_sql("event_type", "7 days", 3.0),
-    "anomalies_by_user": _anomaly_sql("user_id", "7 days", 3.0),
-    "anomalies_sigma2": _anomaly_sql("event_type", "1 day", 2.0),
-    "anomalies_hourly": _anomaly_sql("event_type", "1 hour", 3.0),
-    "anomalies_hourly_sigma2": _anomaly_sql("event_type", "1 hour", 2.0),
-    "anomalies_6h": _anomaly_sql("event_type", "6 hours", 3.0),
-    "window_stats": _stats_sql("1 day"),
-    "merge_stats": _stats_sql("7 days"),
-    "merge_hours": _stats_sql("1 day"),
+    "anomalies_incremental": anomaly_sql("event_type", "1 day", 3.0),
+    "anomalies_two_pass": anomaly_sql("event_type", "1 day", 3.0),
+    "anomalies_weekly": anomaly_sql("event_type", "7 days", 3.0),
+    "anomalies_by_user": anomaly_sql("user_id", "7 days", 3.0),
+    "anomalies_sigma2": anomaly_sql("event_type", "1 day", 2.0),
+    "anomalies_hourly": anomaly_sql("event_type", "1 hour", 3.0),
+    "anomalies_hourly_sigma2": anomaly_sql("event_type", "1 hour", 2.0),
+    "anomalies_6h": anomaly_sql("event_type", "6 hours", 3.0),
+    "window_stats": stats_sql("1 day"),
+    "merge_stats": stats_sql("7 days"),
+    "merge_hours": stats_sql("1 day"),
     "constant_guard": f"""
 WITH b AS (
-  SELECT event_type, length(event_type) * 0.1 AS value, {_bucket('1 day')} AS window_start FROM events
+  SELECT event_type, length(event_type) * 0.1 AS value, {bucket('1 day')} AS window_start FROM events
 ), s AS (
   SELECT event_type AS s_key, window_start AS s_ws, count(value) AS n, avg(value) AS mean,
          stddev_pop(value) AS sd, min(value) AS lo, max(value) AS hi
@@ -214,7 +192,7 @@ FROM b JOIN s ON b.event_type = s.s_key AND b.window_start = s.s_ws
 GROUP BY s.s_key, s.s_ws, s.n
 """,
     "anomaly_lines": f"""
-WITH a AS ({_anomaly_sql("event_type", "1 day", 3.0)})
+WITH a AS ({anomaly_sql("event_type", "1 day", 3.0)})
 SELECT event_id,
        'Device ' || event_type || ', measurement '
        || CAST(CAST(round(CAST(value AS DECIMAL(18, 6)), 1) AS DECIMAL(18, 1)) AS VARCHAR)
@@ -223,7 +201,7 @@ FROM a
 """,
 
     "lines_written": f"""
-WITH a AS ({_anomaly_sql("event_type", "1 day", 3.0)})
+WITH a AS ({anomaly_sql("event_type", "1 day", 3.0)})
 SELECT 'Device ' || event_type || ', measurement '
        || CAST(CAST(round(CAST(value AS DECIMAL(18, 6)), 1) AS DECIMAL(18, 1)) AS VARCHAR)
        || ' C, time ' || CAST(epoch_us(ts) // 1000 AS VARCHAR) AS line
@@ -234,17 +212,19 @@ SELECT event_type || ':' || CAST(user_id AS VARCHAR) AS deviceId, value AS tempe
        epoch_us(ts) // 1000 AS timestampMillis
 FROM events
 """,
-    "stream_anomalies": _anomaly_sql(
+    "stream_anomalies": anomaly_sql(
         "event_type", "1 day", 3.0,
         extra="AND b.window_start + INTERVAL '1 day' <= "
               "(SELECT max(ts) FROM events) - INTERVAL '1 second'"),
     "stream_window_stats": f"""
-SELECT * FROM ({_stats_sql("1 day")}) s
+SELECT * FROM ({stats_sql("1 day")}) s
 WHERE s.window_end <= (SELECT max(ts) FROM events) - INTERVAL '1 second'
 """,
-    "replay_backfill": _anomaly_sql(
+    "replay_backfill": anomaly_sql(
         "event_type", "1 day", 2.5,
         where="WHERE ts >= TIMESTAMP '2024-01-08 00:00:00' AND ts < TIMESTAMP '2024-01-22 00:00:00'"),
+    **STREAM_SQL,
+    **STORE_SQL,
 }
 
 
