@@ -17,6 +17,7 @@ is held, so a conversation of any length needs no more memory than its longest t
 from __future__ import annotations
 
 import hashlib
+import re
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -43,31 +44,34 @@ def escape(text: str, controls: tuple[str, ...]) -> str:
 class Parser:
     """Deterministic parser of one rendered turn: name, body and where the body lies."""
 
-    def _until(self, text: str, at: int, stop: str, controls: tuple[str, ...]) -> tuple[str, int]:
-        """Content from ``at`` up to the first unescaped ``stop``, unescaped, and where it ends."""
+    #: What the parser stops at: an escaped control string (longest first), or one that is not.
+    _MARK = re.compile("|".join([f"{re.escape(ESCAPE)}(?:{'|'.join(re.escape(c) for c in CONTROL)})",
+                                 re.escape(OPEN), re.escape(NAMED), re.escape(CLOSE)]))
+
+    def _until(self, text: str, at: int, stop: str, barred: str | None = None) -> tuple[str, int]:
+        """Content from ``at`` up to the first unescaped ``stop``, unescaped, and where it ends. One
+        scan from left to right; an unescaped ``barred`` on the way is an error."""
         out = []
-        while True:
-            slash, found = text.find(ESCAPE, at), text.find(stop, at)
-            if found < 0:
-                raise ValueError(f"no {stop!r} in a rendered turn")
-            if slash < 0 or slash > found:
-                out.append(text[at:found])
-                return "".join(out), found
-            out.append(text[at:slash])
-            held = next((c for c in controls if text.startswith(c, slash + 1)), None)
-            out.append(ESCAPE if held is None else held)
-            at = slash + 1 + len(held or "")
+        for m in self._MARK.finditer(text, at):
+            mark = m.group()
+            if mark == stop:
+                out.append(text[at:m.start()])
+                return "".join(out), m.start()
+            if mark == barred:
+                raise ValueError("a turn begins inside another")
+            if mark.startswith(ESCAPE):
+                out += (text[at:m.start()], mark[len(ESCAPE):])
+                at = m.end()
+        raise ValueError(f"no {stop!r} in a rendered turn")
 
     def parse(self, rendered: str) -> tuple[str, str, int, int]:
         if not rendered.startswith(OPEN):
             raise ValueError("a turn begins with its mark")
-        name, at = self._until(rendered, len(OPEN), NAMED, CONTROL)
+        name, at = self._until(rendered, len(OPEN), NAMED)
         start = at + len(NAMED)
-        body, end = self._until(rendered, start, CLOSE, CONTROL)
+        body, end = self._until(rendered, start, CLOSE, OPEN)
         if rendered[end:] != END:
             raise ValueError("text behind the end of a turn")
-        if OPEN in rendered[start:end].replace(ESCAPE + OPEN, ""):
-            raise ValueError("a turn begins inside another")
         return name, body, start, end
 
 

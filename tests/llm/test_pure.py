@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import random
 import re
+import time
 from array import array
 
 import numpy as np
@@ -84,6 +85,21 @@ def test_base_spans_are_the_leftmost_matches():
         assert [s for s in find(text) if s[0] < 4] == plain_spans(text)
 
 
+def test_long_runs_are_read_once():
+    find = pii_anchors.Finder()
+    for text in ("1" * 500_000, "1." * 250_000, "a" * 250_000 + "@" + "a" * 250_000, "a@" * 250_000,
+                 "a://" * 125_000, "a://b?user=" * 40_000, "+1" * 250_000, "1 " * 250_000):
+        began = time.process_time()
+        find(text)
+        assert time.process_time() - began < 20, text[:20]
+
+
+def test_private_urls_inside_others():
+    text = "see http://a.org/?next=http://u:p@b.org/x, or https://c.org/q?token=1&x=https://d.org/?y=2."
+    found = [text[a:b] for k, a, b in pii_anchors.Finder()(text) if k == 4]
+    assert found == ["http://u:p@b.org/x", "https://c.org/q?token=1&x=https://d.org/?y=2"]
+
+
 def test_known_spans_and_redaction():
     text = "mail ann.b@x.example.org, card 4111 1111 1111 1111, ip 10.0.0.255, call +1 (483) 555-1712."
     spans = pii_anchors.Finder()(text)
@@ -155,13 +171,24 @@ def test_a_bound_on_states_changes_nothing():
 
 def test_any_turn_survives_the_round_trip():
     rnd, parser = random.Random(6), chat_grammar.Parser()
-    parts = ["\\", "### ", "</turn>", ": ", "\n", "a", "Assistant", "#", "<", "/turn>", "\\\\"]
-    for _ in range(5000):
+    parts = ["\\", "### ", "</turn>", ": ", "\n", "a", "Assistant", "#", "<", "/turn>", "\\\\", "# ", "## ",
+             " ", "</"]
+    for text in ("##### # x", "#### ## y"):
+        made, start, end = chat_grammar.render("user", text)
+        assert parser.parse(made) == ("user", text, start, end)
+    for _ in range(20_000):
         role, text = ("".join(rnd.choice(parts) for _ in range(rnd.randint(0, 7))) for _ in range(2))
         made, start, end = chat_grammar.render(role, text)
         assert parser.parse(made) == (role, text, start, end)
 
 
+def test_very_long_turns_are_scanned_once():
+    for text in ("\\" * 1_000_000, "### " * 250_000, "#" * 1_000_000):
+        began = time.process_time()
+        chat_grammar.render("user", text)
+        assert time.process_time() - began < 10
+
+
 def test_plain_text_is_not_escaped():
     made, start, end = chat_grammar.render("user", "plain: text \\ here")
     assert made[start:end] in ("plain: text \\ here", chat_grammar.escape("plain: text \\ here", chat_grammar.CONTROL))
