@@ -8,6 +8,8 @@ two tokens. Positions where a token that outlives the pending bytes may begin ar
 as soon as the encodings up to all live positions begin with the same token, that token is
 emitted. Tokens have a greatest length, so the lookahead is bounded. States and their transitions
 are made when first met and kept up to a bound (beyond it they are made again when needed).
+Pre-tokens are kept in two generations: those met again move to the young one, and when that is full
+the old one is dropped. A worker keeps all this from task to task and drops it once it is idle.
 
 Decoding streams: ids become bytes, and an incremental UTF-8 decoder holds back the bytes of a
 character that is not complete yet.
@@ -17,8 +19,12 @@ from __future__ import annotations
 
 import base64
 import codecs
+import contextlib
+import ctypes
+import gc
 import hashlib
 import sys
+import threading
 import types
 from array import array
 from collections.abc import Iterator
@@ -32,9 +38,12 @@ from pyspark.sql import functions as F
 from .common import slices, strings
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
-#: Transducer states, and encoded pre-tokens, that a task keeps.
-MAX_STATES = 200_000
-MAX_PIECES = 300_000
+#: Transducer states, pair decisions and pre-tokens of a generation that a worker keeps.
+MAX_STATES = 100_000
+MAX_PAIRS = 150_000
+MAX_PIECES = 150_000
+#: Seconds without a task after which a worker drops its encoders.
+IDLE_SECONDS = 2.0
 _NO_TOKEN = -1
 
 
@@ -68,7 +77,7 @@ class Transducer:
         self.max_states = max_states
         # Bytes with which some longer token begins: only there a token can still grow.
         self.open = {t[:n] for t in ranks for n in range(1, len(t))}
-        self._pairs: dict[tuple[int, int], bool] = {}
+        self._pairs: dict[int, bool] = {}
         self._parts: dict[bytes, tuple[bytes, bytes] | None] = {}
         self._edges: dict[tuple[bytes, int], list[tuple[bytes, int]]] = {}
         self.states: dict[tuple[int, bytes], _State] = {}
@@ -124,10 +133,11 @@ class Transducer:
         border at any time. Of merges of one rank the leftmost comes first."""
         if left == _NO_TOKEN:
             return True
-        got = self._pairs.get((left, right))
+        pair = left << 32 | right
+        got = self._pairs.get(pair)
         if got is None:
-            if len(self._pairs) >= 1_000_000:
-                self._pairs.clear()
+            if len(self._pairs) >= MAX_PAIRS:
+                self._pairs = {}
             before, after = self._edge(self.token[left], 1), self._edge(self.token[right], 0)
             i = j = 0
             while True:
@@ -143,7 +153,7 @@ class Transducer:
                 if i == len(before) or j == len(after):
                     got = True
                     break
-            self._pairs[left, right] = got
+            self._pairs[pair] = got
         return got
 
     def _step(self, state: _State, byte: int) -> tuple[_State, tuple[int, ...]]:
@@ -200,10 +210,15 @@ class Encoder:
         self.transducer = Transducer(ranks)
         self.split = regex.compile(pattern)
         self.kept: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
 
     def _piece(self, piece: str) -> bytes:
-        ids = array("I", self.transducer.encode(piece.encode())).tobytes()
-        if len(piece) <= 64 and len(self.kept) < MAX_PIECES:
+        """Ids of a pre-token that the young generation lacks."""
+        ids = self.older.get(piece) or array("I", self.transducer.encode(piece.encode())).tobytes()
+        if len(piece) <= 64:
+            if len(self.kept) >= MAX_PIECES:
+                self.older = dict(self.kept)
+                self.kept.clear()  # the same table: a running loop holds its `get`
             self.kept[piece] = ids
         return ids
 
@@ -237,14 +252,35 @@ class Decoder:
         return self.machine.decode(b"", True)
 
 
-def worker_encoder(path: str) -> Encoder:
-    """The encoder of a vocabulary, kept for the life of the Python worker: later tasks start with
-    the states and pre-tokens that earlier ones met."""
-    held = sys.modules.setdefault("_sigmawatch_worker", types.ModuleType("_sigmawatch_worker"))
-    kept = held.__dict__.setdefault("encoders", {})
-    if path not in kept:
-        kept[path] = Encoder(load_ranks(path))
-    return kept[path]
+@contextlib.contextmanager
+def worker_encoder(path: str) -> Iterator[Encoder]:
+    """The encoder of a vocabulary, kept by the Python worker from task to task: later tasks start
+    with the states and pre-tokens that earlier ones met. A worker that has had no task for
+    :data:`IDLE_SECONDS` drops it, so that other stages get its memory."""
+    held = sys.modules.setdefault("_sigmawatch_worker", types.ModuleType("_sigmawatch_worker")).__dict__
+    timer = held.pop("timer", None)
+    if timer is not None:
+        timer.cancel()
+    kept = held.setdefault("encoders", {})
+    encoder = kept.get(path) or kept.setdefault(path, Encoder(load_ranks(path)))
+    try:
+        yield encoder
+    finally:
+        del encoder
+        held["timer"] = timer = threading.Timer(IDLE_SECONDS, drop_encoders, (kept,))
+        timer.daemon = True
+        timer.start()
+
+
+def drop_encoders(kept: dict[str, Encoder]) -> None:
+    """Drop the encoders (one that a task still holds ends with it) and give the memory back."""
+    kept.clear()
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # not glibc
+        pass
 
 
 def ranks_table(vocabulary: str = VOCABULARY) -> str:
@@ -304,13 +340,13 @@ def round_trip(docs: DataFrame, vocabulary: str = VOCABULARY) -> DataFrame:
 
 def _with(docs: DataFrame, names: tuple[str, ...], schema: str, path: str, make) -> DataFrame:
     def run(columns: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        encoder = worker_encoder(path)
-        for column in columns:
-            parts = [make(encoder, strings(s.column(0)))
-                     for s in slices([pa.RecordBatch.from_arrays([column], ["t"])], 2_000, "t")]
-            parts = parts or [make(encoder, [])]
-            arrays = [pa.concat_arrays([p[i] for p in parts]) for i in range(len(names))]
-            yield pa.StructArray.from_arrays(arrays, list(names))
+        with worker_encoder(path) as encoder:
+            for column in columns:
+                parts = [make(encoder, strings(s.column(0)))
+                         for s in slices([pa.RecordBatch.from_arrays([column], ["t"])], 2_000, "t")]
+                parts = parts or [make(encoder, [])]
+                arrays = [pa.concat_arrays([p[i] for p in parts]) for i in range(len(names))]
+                yield pa.StructArray.from_arrays(arrays, list(names))
 
     run.__annotations__ = {"columns": Iterator[pa.Array], "return": Iterator[pa.Array]}
     kept = [c for c in docs.columns if c not in names]
