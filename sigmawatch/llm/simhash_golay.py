@@ -25,7 +25,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import materialise, shuffle_partitions, slices
@@ -79,14 +79,21 @@ def _signed(x: int) -> int:
 
 
 def with_fingerprint(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
-    """``(doc_id, fp)`` of each row; ``fp`` is the 64-bit fingerprint as a signed long."""
+    """``(doc_id, fp, _text)`` of each row: the 64-bit fingerprint as a signed long and a hash of the
+    text, which tells apart rows that share an id."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in slices(batches, 2_000, "text"):
             fps = [_signed(fingerprint(t, shingle)) for t in b.column("text").fill_null("").to_pylist()]
             yield pa.RecordBatch.from_arrays(
-                [b.column("doc_id").cast(pa.int64()), pa.array(fps, pa.int64())], ["doc_id", "fp"])
-    source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string"))
-    return source.mapInArrow(run, "doc_id long, fp long")
+                [b.column("doc_id"), pa.array(fps, pa.int64()), b.column("_text")],
+                ["doc_id", "fp", "_text"])
+    source = docs.select(F.col("doc_id").cast("long").alias("doc_id"),
+                         F.col("text").cast("string").alias("text"), _text_hash().alias("_text"))
+    return source.mapInArrow(run, "doc_id long, fp long, _text long")
+
+
+def _text_hash():
+    return F.xxhash64(F.col("text").cast("string"))
 
 
 class Golay:
@@ -331,25 +338,31 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX
             .select("doc_id", "fp", "component_id"))
 
 
-def deduplicate(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS) -> DataFrame:
-    """``docs`` with one row left of each component: the one with the smallest ``doc_id``.
+def deduplicate(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS,
+                bucket_rows: int = BUCKET_ROWS) -> DataFrame:
+    """``docs`` with one row left of each component: the one with the smallest ``doc_id`` (null last;
+    of rows that repeat the id in one component the one with the smallest hash of its text).
 
-    Of rows that repeat that id one stays (smallest text first). A component that holds only null
-    ids keeps one row too. All columns of ``docs`` are kept as they are.
+    Rows that share an id but not a component each stay. Of rows equal in id and text one stays, with
+    all its columns as they are (the one with the smallest hash of its columns).
     """
-    # A row without an id gets one above all others, from its text, for the time of this call.
-    top = docs.agg(F.max(F.col("doc_id").cast("long"))).first()[0] or 0
-    if top >= 1 << 62:
-        raise ValueError("ids of 2**62 and more leave no room for rows without an id")
-    own = F.lit(max(top, 0) + 1) + F.pmod(F.xxhash64("text"), F.lit(1 << 60))
-    named = docs.withColumn("_near_id", F.coalesce(F.col("doc_id").cast("long"), own))
-    members = near_duplicates(named.select(F.col("_near_id").alias("doc_id"), "text"), shingle, max_bits)
-    keep = (members.filter(F.col("doc_id") == F.col("component_id"))
-            .select(F.col("doc_id").alias("_keep")).distinct())
-    kept = named.join(keep, named["_near_id"] == keep["_keep"], "left_semi")
-    first = Window.partitionBy("_near_id").orderBy("text")
-    return (kept.withColumn("_copy", F.row_number().over(first)).filter("_copy = 1")
-            .select(*docs.columns))
+    prints = materialise(with_fingerprint(docs, shingle), "golay-fp")
+    name = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "_text")
+    first = materialise(prints.groupBy("fp").agg(F.min(name).alias("name")), "golay-first")
+    roots = components(links(first.select("fp"), max_bits, bucket_rows))
+    keep = (first.join(roots, first["fp"] == roots["node"], "left")
+            .groupBy(F.coalesce("root", "fp").alias("root")).agg(F.min("name").alias("name"))
+            .select(F.coalesce("name.doc_id", F.lit(0)).alias("_keep_id"), F.col("name._text").alias("_keep_text"),
+                    F.col("name.none").alias("_keep_none")))
+    own = F.col("doc_id").cast("long")
+    rows = docs.select(F.coalesce(own, F.lit(0)).alias("_id"), _text_hash().alias("_text"),
+                       own.isNull().alias("_none"), F.struct(*docs.columns).alias("_row"))
+    same = ((F.col("_id") == F.col("_keep_id")) & (F.col("_text") == F.col("_keep_text"))
+            & (F.col("_none") == F.col("_keep_none")))
+    # Equal rows are reduced in the map tasks before they meet.
+    kept = rows.join(keep, same, "left_semi").groupBy("_id", "_text", "_none").agg(
+        F.min_by("_row", F.xxhash64("_row")).alias("_row"))
+    return kept.select("_row.*")
 
 
 def fingerprint_hex(column="fp"):
