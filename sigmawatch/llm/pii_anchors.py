@@ -32,14 +32,15 @@ BASE = KINDS[:4]
 # The patterns of the base kinds.
 EMAIL = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
 IP = re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
+# The parts that the local parsers of these two put together in one pass.
+_AFTER_AT = re.compile(r"[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
+_DIGITS = re.compile(r"[0-9]+")
 CARD = re.compile(r"[0-9]([\x20-]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 
 #: Words that announce an identifier.
 CUES = ("account", "acct", "iban", "passport", "ssn", "customer id", "user id", "member id",
         "konto", "compte", "cuenta")
-_LOCAL = re.compile(r"[A-Za-z0-9._%+-]*")
-_DOMAIN = re.compile(r"[A-Za-z0-9.-]*")
 _DOTTED = re.compile(r"[0-9.]*")
 _SPACED = re.compile(r"[0-9\x20-]*")
 _DIALLED = re.compile(r"[\x20().0-9+-]*")
@@ -60,7 +61,8 @@ _IBAN_LENGTHS = {c[:2]: int(c[2:]) for c in (
     "KW30 KZ20 LB28 LC32 LI21 LT20 LU20 LV21 LY25 MC27 MD24 ME22 MK19 MR27 MT31 MU30 NL18 NO15 PK24 "
     "PL28 PS29 PT25 QA29 RO24 RS22 SA24 SC31 SE24 SI19 SK24 SM27 ST25 SV28 TL23 TN24 TR26 UA29 VA22 "
     "VG24 XK20").split()}
-_PRIVATE_QUERY = re.compile(r"[?&;](?:e?mail|phone|user|token|ssn)=[^&#;]+", re.IGNORECASE)
+_HOST = re.compile(r"[^/?#]*")
+_PRIVATE_QUERY = re.compile(r"(?=[?&;](?:e?mail|phone|user|token|ssn)=[^&#;])", re.IGNORECASE)
 
 Span = tuple[int, int, int]  # kind number, start, end (code points, end exclusive)
 
@@ -145,13 +147,12 @@ class Finder:
 
     def __call__(self, text: str) -> list[Span]:
         spans: list[Span] = []
-        email_end = ip_end = card_end = phone_end = 0  # ends of the runs already parsed
+        ip_end = card_end = phone_end = 0  # ends of the runs already parsed
         ends = 0  # end of the last e-mail match: the next one starts at it or later
+        url = (0, 0, 0)
         for at, mark in self.automaton.iter(_folded(text)):
             if mark == "@":
-                if at < email_end:
-                    continue
-                email_end, ends = self._emails(text, at, ends, spans)
+                ends = self._email(text, at, ends, spans)
             elif mark == "+":
                 if at >= phone_end:
                     phone_end = _DIALLED.match(text, at).end()
@@ -159,11 +160,11 @@ class Finder:
             elif mark == "cue":
                 self._account(text, at + 1, spans)
             elif mark == "://":
-                self._url(text, at - 2, spans)
+                url = self._url(text, at - 2, url, spans)
             else:
                 if at >= ip_end:
                     ip_end = _DOTTED.match(text, at).end()
-                    self._matches(text, IP, 1, _valid_ip, at, ip_end, spans)
+                    self._addresses(text, at, ip_end, spans)
                 if at >= card_end:
                     card_end = _SPACED.match(text, at).end()
                     self._matches(text, CARD, 2, _valid_card, at, card_end, spans)
@@ -177,30 +178,51 @@ class Finder:
                 spans.append((kind, m.start(), m.end()))
 
     @staticmethod
-    def _emails(text: str, at: int, ends: int, spans: list[Span]) -> tuple[int, int]:
-        """E-mails of the run of address characters and at-signs around the at-sign ``at``."""
-        start = _back(text, at, _LOCAL_SET, ends)
-        end = at
-        while end < len(text) and text[end] == "@":
-            end = _LOCAL.match(text, end + 1).end()
-        for m in EMAIL.finditer(text, start, end):
-            spans.append((0, m.start(), m.end()))
-            ends = m.end()
-        return end, ends
+    def _addresses(text: str, start: int, end: int, spans: list[Span]) -> None:
+        """Four groups of digits with one dot between them, in a run of digits and dots: a match
+        begins and ends with a whole group."""
+        held: list[tuple[int, int]] = []
+        for m in _DIGITS.finditer(text, start, end):
+            if held and m.start() != held[-1][1] + 1:
+                held = []
+            held.append(m.span())
+            if len(held) == 4:
+                if _valid_ip(text[held[0][0]:m.end()]):
+                    spans.append((1, held[0][0], m.end()))
+                held = []
 
     @staticmethod
-    def _url(text: str, at: int, spans: list[Span]) -> None:
+    def _email(text: str, at: int, ends: int, spans: list[Span]) -> int:
+        """The e-mail around the at-sign ``at``, if any; where the last one ends. The local part
+        goes back to the at-sign before at most, the domain on to the next, so no character is read
+        more than twice."""
+        start = _back(text, at, _LOCAL_SET, ends) if at >= ends else at
+        m = _AFTER_AT.match(text, at + 1) if start < at else None
+        if not m:
+            return ends
+        spans.append((0, start, m.end()))
+        return m.end()
+
+    @staticmethod
+    def _url(text: str, at: int, run: tuple[int, int, int], spans: list[Span]) -> tuple[int, int, int]:
+        """The URL whose scheme ends at ``at``, if it is private. ``run``: end of the run of URL
+        characters read last, its end without closing punctuation, and the last place in it where
+        a private query begins; found once for all schemes in a run."""
         scheme = _back(text, at, _SCHEME_SET, max(0, at - 16))
         m = _SCHEME.match(text, scheme, at)
         if not m:
-            return
-        end = _URL.match(text, at + 3).end()
-        while end > at + 3 and text[end - 1] in ".,;:!?)]'":
-            end -= 1
-        rest = text[at + 3:end]
-        host = re.split(r"[/?#]", rest, maxsplit=1)[0]
-        if "@" in host or _PRIVATE_QUERY.search(rest):
+            return run
+        if at >= run[0]:
+            whole = end = _URL.match(text, at + 3).end()
+            while end > at + 3 and text[end - 1] in ".,;:!?)]'":
+                end -= 1
+            last = max((q.start() for q in _PRIVATE_QUERY.finditer(text, at + 3, end)), default=-1)
+            run = (whole, end, last)
+        end = max(run[1], at + 3)
+        host_end = _HOST.match(text, at + 3, end).end()
+        if text.find("@", at + 3, host_end) >= 0 or run[2] >= at + 3:
             spans.append((4, scheme, end))
+        return run
 
     @staticmethod
     def _account(text: str, at: int, spans: list[Span]) -> None:
@@ -297,9 +319,15 @@ def redacted(docs: DataFrame) -> DataFrame:
                         pa.string())
 
     clean = _per_text(make, "string")
-    out = docs.withColumn("_clean", clean(F.col("text").cast("string")))
-    if "n_chars" in docs.columns:
-        out = out.withColumn("n_chars", F.when(F.col("_clean") != F.col("text"),
-                                               F.char_length("_clean").cast(docs.schema["n_chars"].dataType))
-                             .otherwise(F.col("n_chars")))
-    return out.withColumn("text", F.col("_clean")).select(*docs.columns)
+    out = docs.select(F.struct(*docs.columns).alias("_row"), clean(F.col("text").cast("string")).alias("_clean"))
+    changed = F.col("_clean") != F.col("_row.text")
+
+    def column(name: str):
+        if name == "text":
+            return F.col("_clean").alias(name)
+        if name == "n_chars":
+            count = F.char_length("_clean").cast(docs.schema[name].dataType)
+            return F.when(changed, count).otherwise(F.col("_row.n_chars")).alias(name)
+        return F.col("_row").getField(name).alias(name)
+
+    return out.select(*[column(c) for c in docs.columns])
