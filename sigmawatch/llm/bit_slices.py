@@ -29,6 +29,8 @@ K = 5
 QUERY_STEP = 50
 FACTOR = 256
 BATCH = 256
+#: Bitmaps of fewer rows cost more calls than bits.
+GROUP_ROWS = 16_384
 
 
 def signed_digits(value: int) -> list[tuple[int, int]]:
@@ -185,7 +187,7 @@ def largest(vectors: DataFrame, vector: str = "embedding", k: int = K, query_ste
     asked = (rows.filter(F.col("vec_id") % query_step == 0)
              .withColumn("print", F.xxhash64("vec")))
 
-    found = streamed_past(rows, asked, group_count(rows), lambda held: Block(held, factor, k),
+    found = streamed_past(rows, asked, group_count(rows, GROUP_ROWS), lambda held: Block(held, factor, k),
                           "query_id long, print long, vec_id long, key binary, score long")
     best = Window.partitionBy("query_id", "print").orderBy(F.col("key").desc(), "vec_id")
     return (found.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k)

@@ -81,21 +81,22 @@ def as_long(value: int) -> int | None:
     return value if -(1 << 63) <= value < 1 << 63 else None
 
 
-def group_count(rows: DataFrame) -> int:
+def group_count(rows: DataFrame, least: int | None = None) -> int:
     """Number of groups that ``rows`` (with ``vec``) are dealt to: enough that a group holds about
-    :data:`GROUP_CELLS` components, and one per shuffle partition where the rows suffice."""
+    :data:`GROUP_CELLS` components, and one per shuffle partition where the rows suffice for
+    ``least`` a group (:data:`MIN_GROUP_ROWS`)."""
     size = rows.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(F.size("vec")), F.lit(0)).alias("cells")).first()
-    busy = min(shuffle_partitions(rows.sparkSession), size["n"] // MIN_GROUP_ROWS)
+    busy = min(shuffle_partitions(rows.sparkSession), size["n"] // (least or MIN_GROUP_ROWS))
     return max(1, -(-size["cells"] // GROUP_CELLS), busy)
 
 
 def streamed_past(rows: DataFrame, asked: DataFrame, groups: int,
                   answer: Callable[[pa.Table], Callable[[pa.RecordBatch], Iterable[pa.RecordBatch]]],
-                  schema: str) -> DataFrame:
+                  schema: str, group: str | None = None) -> DataFrame:
     """Every row of ``asked`` meets every row of ``rows`` of its own number of components.
 
-    ``rows`` (with ``vec``) are dealt evenly to ``groups`` by a hash of the whole row and shuffled
-    once; ``asked`` is sent to each group. In a group's task the rows come first, in order of
+    ``rows`` (with ``vec_id`` and ``vec``) are dealt to ``groups``, evenly by a hash of the whole row
+    or as the column ``group`` says (from 0), and shuffled once; ``asked`` is sent to each group. In a group's task the rows come first, in order of
     ``vec_id`` within ``dim``; ``answer(rows)`` turns them into what is held, a function that is then
     given ``asked`` batch by batch. So a task holds one group and one batch, however many are asked.
     """
@@ -107,9 +108,9 @@ def streamed_past(rows: DataFrame, asked: DataFrame, groups: int,
         return df.select(group.alias("_group"), F.size("vec").alias("_dim"), F.lit(kind).alias("_kind"),
                          *cols, "vec")
 
-    spread = F.pmod(F.xxhash64(*rows.columns), F.lit(groups)).cast("int")
+    spread = F.col(group) if group else F.pmod(F.xxhash64(*rows.columns), F.lit(groups))
     everywhere = F.explode(F.sequence(F.lit(0), F.lit(groups - 1)))
-    both = shaped(rows, spread, 0).unionByName(shaped(asked, everywhere, 1))
+    both = shaped(rows, spread.cast("int"), 0).unionByName(shaped(asked, everywhere, 1))
     dealt = (both.repartitionById(groups, "_group")
              .sortWithinPartitions("_group", "_dim", "_kind", "vec_id", "vec"))
 

@@ -143,7 +143,7 @@ def test_largest_equals_brute_force(spark, wide, monkeypatch):
     want = largest_rows(rows, 5, 50, 256)
     assert any(r[3] is None for r in want) == wide
     for group_rows in (4_096, 40):  # one group, several groups
-        monkeypatch.setattr(exact_vectors, "MIN_GROUP_ROWS", group_rows)
+        monkeypatch.setattr(bit_slices, "GROUP_ROWS", group_rows)
         got = bit_slices.largest(frame(spark, rows))
         assert sorted(map(tuple, got.collect()), key=repr) == want
     assert bit_slices.largest(frame(spark, rows).limit(0)).count() == 0
