@@ -79,6 +79,23 @@ def _attach(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inne
     return left.join(named, same, how).drop(*[f"_r_{k}" for k in keys])
 
 
+def _ranked(offered: DataFrame, keys: list[str], within: list[str]) -> DataFrame:
+    """``offered`` with ``_rank``, its place by falling ``_quotient`` (ties by key) in its group
+    ``within``. All offers are range-partitioned in one order, so that a group with very many of them
+    lies in many blocks; a row's rank is its place in its block and the group's rows in earlier ones."""
+    order = [*within, "_down", *[k for k in keys if k not in within], "_s"]
+    blocks = ranked_blocks(offered.withColumn("_down", -F.col("_quotient")), order, "mix-offers")
+    group = ["_block", *within]
+    placed = blocks.withColumn("_place", F.row_number().over(Window.partitionBy(*group).orderBy("_at")))
+    # A row per block and group: a group has at most as many as there are blocks.
+    sizes = blocks.groupBy(*group).agg(F.count(F.lit(1)).alias("_n"))
+    earlier = Window.partitionBy(*within).orderBy("_block") if within else Window.orderBy("_block")
+    earlier = earlier.rowsBetween(Window.unboundedPreceding, -1)
+    before = sizes.select(*group, F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_earlier"))
+    return (_attach(placed, before, group).withColumn("_rank", F.col("_place") + F.col("_earlier"))
+            .drop("_down", "_block", "_at", "_place", "_earlier"))
+
+
 def _seats(parties: DataFrame, keys: list[str], within: list[str], purpose: str,
            margin: int = MARGIN) -> DataFrame:
     """Sainte-Lague: ``seats`` for each party (``keys``, ``votes``, ``_house``): the ``_house``
@@ -87,12 +104,12 @@ def _seats(parties: DataFrame, keys: list[str], within: list[str], purpose: str,
 
     Only the ``margin`` seats on either side of a party's rounded-down share are ranked. If some
     party won all of those or lost all, its seats may lie outside: the margin is widened."""
-    share = Window.partitionBy(*within) if within else None
-    if share is not None:
-        total = F.sum("votes").over(share)
+    if within:
+        parties = _attach(parties, parties.groupBy(*within).agg(F.sum("votes").alias("_all")), within)
     else:
         total = F.lit(float(parties.agg(F.sum("votes")).first()[0] or 0))
-    based = parties.withColumn("_all", total).withColumn(
+        parties = parties.withColumn("_all", total)
+    based = parties.withColumn(
         "_q", F.when(F.col("_all") > 0, F.col("votes") * F.col("_house") / F.col("_all"))
         .otherwise(0.0))
     based = materialise(based.withColumn("_base", F.greatest(F.lit(0), F.floor("_q") - margin)),
@@ -100,22 +117,20 @@ def _seats(parties: DataFrame, keys: list[str], within: list[str], purpose: str,
     offered = based.select("*", F.explode(F.sequence(F.lit(0), F.lit(2 * margin))).alias("_s"))
     offered = offered.withColumn(
         "_quotient", F.col("votes") / (2 * (F.col("_base") + F.col("_s")) + 1))
-    order = [F.col("_quotient").desc(), *[F.col(k).asc_nulls_last() for k in keys], F.col("_s")]
+    ranked = _ranked(offered, keys, within)
     if within:
         left = based.groupBy(*within).agg(
             F.max("_house").alias("_h"), F.sum("_base").alias("_b"))
-        rank = F.row_number().over(Window.partitionBy(*within).orderBy(*order))
-        won = offered.withColumn("_rank", rank)
-        won = _attach(won, left, within).filter(F.col("_rank") <= F.col("_h") - F.col("_b"))
+        won = _attach(ranked, left, within).filter(F.col("_rank") <= F.col("_h") - F.col("_b"))
     else:
         whole = based.agg(F.max("_house").alias("h"), F.sum("_base").alias("b")).first()
         free = int((whole["h"] or 0) - (whole["b"] or 0))
-        won = offered.orderBy(*order).limit(max(0, free))
+        won = ranked.filter(F.col("_rank") <= free)
     extra = won.filter("votes > 0").groupBy(*keys).agg(F.count(F.lit(1)).alias("_extra"))
     joined = materialise(_attach(based, extra, keys, "left").na.fill({"_extra": 0}), purpose)
     at_edge = (F.col("_extra") > 2 * margin) | ((F.col("_extra") == 0) & (F.col("_base") > 0))
     if joined.filter(at_edge & (F.col("votes") > 0)).limit(1).count():
-        return _seats(parties, keys, within, purpose, 4 * margin)
+        return _seats(parties.drop("_all"), keys, within, purpose, 4 * margin)
     return joined.withColumn("seats", F.col("_base") + F.col("_extra")).drop(
         "_all", "_q", "_base", "_extra")
 
@@ -188,6 +203,7 @@ def mixed(docs: DataFrame, **options) -> DataFrame:
     # Rows that share an id take the same share: their words over their sizes.
     times = (amounts.groupBy("doc_id").agg(F.sum("taken").alias("taken"), F.sum("size").alias("size"))
              .select(F.col("doc_id").alias("_id"), copies.alias("_copies")).filter("_copies > 0"))
-    out = docs.join(times, docs["doc_id"].eqNullSafe(times["_id"]))
+    rows = docs.select(F.col("doc_id").alias("_of"), F.struct(*docs.columns).alias("_row"))
+    out = rows.join(times, rows["_of"].eqNullSafe(times["_id"]))
     return (out.withColumn("_i", F.explode(F.sequence(F.lit(1), F.col("_copies"))))
-            .select(*docs.columns))
+            .select("_row.*"))
