@@ -1,14 +1,17 @@
 """Approximate nearest neighbours by robust-pruned directed graphs.
 
-Equal vectors are one node that carries its smallest ids. Nodes are dealt to shards of bounded size;
-in each shard a directed graph is built: nodes enter in batches, a greedy beam search over the graph
-so far proposes their neighbours, and relaxed pruning keeps a candidate only if no kept one is
-closer to it than ``1 / ALPHA`` of its own distance, so few but diverse edges remain. Edges are
-added in both directions and pruned again where a node has too many. Queries are dealt to blocks;
-each (shard, block) pair is one task's group, searched by beams from the shard's entry points.
-
-Largest inner product becomes smallest distance by one more coordinate, ``sqrt(M^2 - |x|^2)`` with
-``M`` the largest norm of the shard (0 for queries).
+Equal vectors are one node that carries its smallest ids. Nodes are dealt to shards of bounded size,
+and a shard's nodes to bands of like norms. In each band a directed graph is built: nodes enter in
+batches, a greedy beam search over the graph so far proposes their neighbours, and relaxed pruning
+keeps a candidate only if no kept one is closer to it than ``1 / ALPHA`` of its own distance, so few
+but diverse edges remain. Edges are added in both directions and pruned again where a node has too
+many. The index is shuffled once; the queries stream past each shard and are searched by beams from
+the entry points of its bands, the largest norms first. A band whose largest norm times the query's
+cannot reach the query's ``k``-th score so far is passed over.
+
+Within a band largest inner product becomes smallest distance by one more coordinate,
+``sqrt(M^2 - |x|^2)`` with ``M`` the band's largest norm (0 for queries). Norms in a band are alike, so
+this coordinate does not drown the others; vectors are scaled by ``M``, so no size overflows.
 """
 
 from __future__ import annotations
@@ -20,13 +23,19 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import materialise
+from .common import materialise, slices
+from .exact_vectors import matrix, streamed_past
 
 K = 20
 QUERY_STEP = 20
-#: Nodes of a shard and queries of a block: the sizes that bound a task's memory.
+#: Nodes of a shard, which bound a task's memory, and queries searched together.
 SHARD_ROWS = 16_384
-QUERY_BLOCK = 4_096
+QUERY_BLOCK = 512
+#: A band ends where a norm falls below its largest one by this factor, once it has so many nodes, or
+#: by the other factor at any rate.
+BAND_RATIO = 1.1
+BAND_ROWS = 512
+BAND_LIMIT = 4.0
 DEGREE = 32
 BUILD_BEAM = 48
 SEARCH_BEAM = 96
@@ -142,6 +151,8 @@ def build_graph(x: np.ndarray, seed: int, degree: int = DEGREE, beam: int = BUIL
         src, dst = src[by], dst[by]
         targets, counts = np.unique(dst, return_counts=True)
         within = np.arange(len(dst)) - np.repeat(np.cumsum(counts) - counts, counts)
+        if not len(targets):
+            continue
         added = np.full((len(targets), counts.max()), -1, np.int64)
         added[np.repeat(np.arange(len(targets)), counts), within] = src
         old = graph[targets].astype(np.int64)
@@ -159,14 +170,6 @@ def build_graph(x: np.ndarray, seed: int, degree: int = DEGREE, beam: int = BUIL
     return graph, entries
 
 
-def _matrix(column: pa.Array) -> np.ndarray:
-    lists = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
-    if not len(lists):
-        return np.empty((0, 0))
-    flat = lists.flatten().to_numpy(zero_copy_only=False).astype(np.float64)
-    return flat.reshape(len(lists), -1)
-
-
 def _usable(df: DataFrame, vector: str) -> DataFrame:
     """Rows with an id and a vector that is neither null nor zero nor holds a null, infinite or
     NaN component; the vector as doubles (-0 as 0)."""
@@ -178,6 +181,104 @@ def _usable(df: DataFrame, vector: str) -> DataFrame:
     return rows.filter(F.col("vec_id").isNotNull() & F.col("vec").isNotNull()).filter(good & some)
 
 
+def bands(norms: np.ndarray) -> np.ndarray:
+    """Number of each row's band, from 0 for the largest norms."""
+    order = np.argsort(-norms, kind="stable")
+    out = np.empty(len(norms), np.int32)
+    band, top, size = -1, 0.0, 0
+    for row in order.tolist():
+        norm = norms[row]
+        if band < 0 or norm * BAND_LIMIT < top or (size >= BAND_ROWS and norm * BAND_RATIO < top):
+            band, top, size = band + 1, norm, 0
+        out[row] = band
+        size += 1
+    return out
+
+
+def lengths(v: np.ndarray) -> np.ndarray:
+    """Norms of the rows; no square overflows or vanishes."""
+    most = np.abs(v).max(1)
+    with np.errstate(over="ignore"):
+        return np.minimum(most * np.sqrt(((v / most[:, None]) ** 2).sum(1)), np.finfo(np.float64).max)
+
+
+def lifted(v: np.ndarray, top: float) -> np.ndarray:
+    """Rows of a band scaled by its largest norm ``top``, with the coordinate that makes all of them
+    equally long."""
+    x = v / top
+    return np.concatenate((x, np.sqrt(np.maximum(0, 1 - (x * x).sum(1)))[:, None]), 1).astype(np.float32)
+
+
+def build_shard(table: pa.Table) -> pa.Table:
+    """The graphs of one shard's bands; a node's edges and number count within its band."""
+    v = matrix(table.column("vec"))
+    order = np.lexsort(v.T[::-1])  # not the order in which rows happened to come
+    v, table = v[order], table.take(pa.array(order))
+    norms = lengths(v)
+    band = bands(norms)
+    node, entry, edges = np.empty(len(v), np.int32), np.zeros(len(v), bool), [None] * len(v)
+    for b in range(int(band.max()) + 1):
+        rows = np.flatnonzero(band == b)
+        graph, entries = build_graph(lifted(v[rows], norms[rows].max()), seed=len(rows))
+        node[rows] = np.arange(len(rows))
+        entry[rows[entries]] = True
+        for r, g in zip(rows.tolist(), graph, strict=True):
+            edges[r] = g
+    return pa.table({"shard": table.column("shard"), "vec": table.column("vec"), "ids": table.column("ids"),
+                     "band": pa.array(band), "node": pa.array(node), "entry": pa.array(entry),
+                     "edges": pa.array(edges, pa.list_(pa.int32()))})
+
+
+class Shard:
+    """The held graphs of a shard, and the search."""
+
+    def __init__(self, rows: pa.Table, k: int, beam: int, block: int) -> None:
+        self.k, self.beam, self.block, self.bands = k, max(beam, k + 1), block, []
+        band = rows.column("band").to_numpy()
+        for b in range(int(band.max()) + 1):
+            part = rows.filter(pa.array(band == b)).sort_by("node")
+            v = matrix(part.column("vec"))
+            top = float(lengths(v).max())
+            entries = np.flatnonzero(part.column("entry").to_numpy(zero_copy_only=False))
+            self.bands.append((v, lifted(v, top), top, matrix(part.column("edges")).astype(np.int32), entries,
+                               part.column("ids").to_pylist()))
+
+    def search(self, own: list[int], q: np.ndarray) -> list[list[tuple[float, int]]]:
+        """The best ``(-score, id)`` of each query, nearest first, at most ``k``."""
+        norms = lengths(q)
+        probe = np.concatenate((q / norms[:, None], np.zeros((len(q), 1))), 1).astype(np.float32)
+        best: list[list[tuple[float, int]]] = [[] for _ in own]
+        for v, x, top, graph, entries, ids in self.bands:
+            with np.errstate(over="ignore"):
+                reach = (norms * top * (1 + 1e-9)).tolist()
+            todo = np.array([i for i, b in enumerate(best) if len(b) < self.k or -b[-1][0] <= reach[i]], np.int64)
+            if not len(todo):
+                break  # later bands reach less
+            if len(v) <= 2 * self.beam:
+                found = np.tile(np.arange(len(v)), (len(todo), 1))
+            else:
+                found, _ = beam_search(x, graph, entries, probe[todo], self.beam)
+            for i, hits in zip(todo.tolist(), found, strict=True):
+                hits = hits[hits >= 0]
+                with np.errstate(over="ignore", invalid="ignore"):
+                    scores = (v[hits] * q[i]).sum(1)
+                named = [(-s, n) for s, h in zip(scores.tolist(), hits.tolist(), strict=True) for n in ids[h]
+                         if n != own[i]]
+                best[i] = sorted(best[i] + named)[:self.k]
+        return best
+
+    def __call__(self, asked: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        for batch in slices([asked], self.block):
+            own = batch.column("vec_id").to_pylist()
+            found = self.search(own, matrix(batch.column("vec")))
+            out = [(o, n, -s) for o, b in zip(own, found, strict=True) for s, n in b]
+            if out:
+                cols = zip(*out, strict=True)
+                kinds = (pa.int64(), pa.int64(), pa.float64())
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, kinds, strict=True)],
+                                                 ["query_id", "vec_id", "score"])
+
+
 def nearest(vectors: DataFrame, vector: str = "embedding", k: int = K, query_step: int = QUERY_STEP,
             shard_rows: int = SHARD_ROWS, query_block: int = QUERY_BLOCK,
             beam: int = SEARCH_BEAM) -> DataFrame:
@@ -187,84 +288,26 @@ def nearest(vectors: DataFrame, vector: str = "embedding", k: int = K, query_ste
 
     Unusable vectors (null, zero, with a null or non-finite component) and rows with a null id
     take no part; vectors of different lengths are compared only with their like. Rows that repeat
-    an id with the same vector count once; with different vectors each counts. A query never finds
-    a row of its own id. An empty table gives no rows.
+    an id with the same vector count once; with different vectors each counts, is answered by its
+    best score as a candidate, and as a query shares one ranking with the others of its id. A query
+    never finds a row of its own id. Components may be of any finite size; a score beyond a double is
+    infinite. Other columns are left out. An empty table gives no rows.
     """
     rows = _usable(vectors, vector).distinct()
     # Of equal vectors the k + 1 smallest ids can be among a query's k nearest, so each node
     # carries these; Spark cuts the groups before the shuffle.
     smallest = Window.partitionBy("vec").orderBy("vec_id")
     ranked = rows.withColumn("_n", F.row_number().over(smallest)).filter(F.col("_n") <= k + 1)
-    nodes = materialise(ranked.groupBy("vec").agg(F.array_sort(F.collect_set("vec_id")).alias("ids"))
-                        .withColumn("dim", F.size("vec")), "ann-nodes")
-    sizes = {r["dim"]: r["n"] for r in nodes.groupBy("dim").agg(F.count(F.lit(1)).alias("n")).collect()}
-    shards = max(1, -(-sum(sizes.values()) // shard_rows))
+    nodes = materialise(ranked.groupBy("vec").agg(F.array_sort(F.collect_set("vec_id")).alias("ids")), "ann-nodes")
+    shards = max(1, -(-nodes.count() // shard_rows))
     shard = F.pmod(F.xxhash64("vec"), F.lit(shards)).cast("int")
-    dealt = nodes.withColumn("shard", shard)
-
-    def build(table: pa.Table) -> pa.Table:
-        v = _matrix(table.column("vec"))
-        order = np.lexsort(v.T[::-1])  # not the order in which rows happened to come
-        v = v[order]
-        table = table.take(pa.array(order))
-        scale = (v * v).sum(1)
-        lifted = np.concatenate((v, np.sqrt(np.maximum(0, scale.max() - scale))[:, None]), 1)
-        graph, entries = build_graph(lifted.astype(np.float32), seed=len(v))
-        is_entry = np.zeros(len(v), bool)
-        is_entry[entries] = True
-        return pa.table({"shard": table.column("shard"), "dim": table.column("dim"),
-                         "node": pa.array(np.arange(len(v), dtype=np.int32)),
-                         "vec": table.column("vec"), "ids": table.column("ids"),
-                         "edges": pa.array(list(graph), pa.list_(pa.int32())),
-                         "entry": pa.array(is_entry)})
-
-    index = materialise(dealt.groupBy("shard", "dim").applyInArrow(
-        build, "shard int, dim int, node int, vec array<double>, ids array<long>, "
-               "edges array<int>, entry boolean"), "ann-index")
-
-    asked = rows.filter(F.col("vec_id") % query_step == 0)
-    asked = materialise(asked.select(F.col("vec_id").alias("query_id"), "vec",
-                                     F.size("vec").alias("dim")), "ann-queries")
-    blocks = max(1, -(-asked.count() // query_block))
-    asked = asked.withColumn("block", F.pmod(F.xxhash64("query_id"), F.lit(blocks)).cast("int"))
-    # Every block of the stated queries meets every shard: one group per pair, both of bounded size.
-    left = asked.withColumn("shard", F.explode(F.sequence(F.lit(0), F.lit(shards - 1))))
-    right = index.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
-
-    def search(queries: pa.Table, part: pa.Table) -> pa.Table:
-        empty = {"query_id": np.empty(0, np.int64), "vec_id": np.empty(0, np.int64),
-                 "score": np.empty(0)}
-        if not queries.num_rows or not part.num_rows:
-            return pa.table(empty)
-        part = part.sort_by("node")
-        v, q = _matrix(part.column("vec")), _matrix(queries.column("vec"))
-        scale = (v * v).sum(1)
-        lifted = np.concatenate((v, np.sqrt(np.maximum(0, scale.max() - scale))[:, None]), 1)
-        lifted = lifted.astype(np.float32)
-        graph = _matrix(part.column("edges")).astype(np.int32)
-        entries = np.flatnonzero(part.column("entry").to_numpy(zero_copy_only=False))
-        ids = part.column("ids").to_pylist()
-        query_ids = queries.column("query_id").to_pylist()
-        out = ([], [], [])
-        width = max(beam, k + 1)
-        for at in range(0, len(q), 512):
-            some = q[at:at + 512]
-            probe = np.concatenate((some, np.zeros((len(some), 1))), 1).astype(np.float32)
-            found, _ = beam_search(lifted, graph, entries, probe, width)
-            for own, vec, hits in zip(query_ids[at:at + 512], some, found, strict=True):
-                hits = hits[hits >= 0]
-                scores = (v[hits] * vec).sum(1)
-                named = sorted((-s, i) for s, h in zip(scores.tolist(), hits.tolist(), strict=True)
-                               for i in ids[h] if i != own)[:k]
-                out[0].extend([own] * len(named))
-                out[1].extend(i for _, i in named)
-                out[2].extend(-s for s, _ in named)
-        return pa.table({"query_id": pa.array(out[0], pa.int64()),
-                         "vec_id": pa.array(out[1], pa.int64()),
-                         "score": pa.array(out[2], pa.float64())})
-
-    found = (left.groupBy("shard", "block", "dim").cogroup(right.groupBy("shard", "block", "dim"))
-             .applyInArrow(search, "query_id long, vec_id long, score double"))
+    dealt = nodes.withColumn("shard", shard).groupBy("shard", F.size("vec").alias("dim"))
+    index = materialise(dealt.applyInArrow(
+        build_shard, "shard int, vec array<double>, ids array<long>, band int, node int, entry boolean, "
+                     "edges array<int>"), "ann-index")
+    asked = materialise(rows.filter(F.col("vec_id") % query_step == 0), "ann-queries")
+    found = streamed_past(index.withColumn("vec_id", F.col("node").cast("long")), asked, shards,
+                          lambda held: Shard(held, k, beam, query_block), "query_id long, vec_id long, score double", "shard")
     # An id that repeats with different vectors answers once, with its best score.
     once = found.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
     order = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")

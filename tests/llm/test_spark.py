@@ -226,6 +226,40 @@ def test_nearest(spark):
     assert vamana.nearest(frame.limit(0)).count() == 0
 
 
+def _vectors(kind, n=2400, dims=32):
+    rng = np.random.default_rng(11)
+    x = rng.normal(size=(n, dims))
+    if kind == "gaussian":
+        return x
+    x /= np.linalg.norm(x, axis=1)[:, None]
+    if kind.startswith("lognormal"):
+        x *= np.exp(float(kind.split()[1]) * rng.normal(size=n))[:, None]
+    if kind == "outlier":
+        x[7] *= 10_000
+    return x * {"huge": 1e20, "tiny": 1e-25, "largest": 1e300}.get(kind, 1.0)
+
+
+@pytest.mark.parametrize("kind", ["unit", "gaussian", "lognormal 0.1", "lognormal 0.3", "lognormal 0.5",
+                                  "lognormal 1.0", "outlier", "huge", "tiny", "largest"])
+def test_recall_whatever_the_norms(spark, kind):
+    """Over several shards, against all rows."""
+    x = _vectors(kind)
+    frame = spark.createDataFrame([(i, v) for i, v in enumerate(x.tolist())], "vec_id long, embedding array<double>")
+    got = collections.defaultdict(set)
+    for r in vamana.nearest(frame, shard_rows=1000).collect():
+        got[r["query_id"]].add(r["vec_id"])
+    if kind == "largest":  # every score is infinite, so none is nearer than another
+        assert all(len(g) == 20 for g in got.values()) and len(got) == len(x) // 20
+        return
+    scale = x / np.abs(x).max()  # the same order, without overflow
+    hits = 0
+    for q in range(0, len(x), 20):
+        scores = scale @ scale[q]
+        scores[q] = -np.inf
+        hits += len(got[q] & set(np.argsort(-scores, kind="stable")[:20].tolist()))
+    assert hits / (20 * len(got)) >= 0.9 and len(got) == len(x) // 20, hits
+
+
 def test_sketches(spark, none):
     rows = [r for r in ODD_TEXTS if r[0] not in (8,)] + [(9, "First. Second one!\nThird.\nThird.\n" + " ".join(
         f"Sentence {i}." for i in range(400))), (10, "Third. Second one! " + "x\ny\n" * 50)]
@@ -319,3 +353,29 @@ def test_pipeline_stages(spark):
         docs = out
     last = corpus_pipeline.STAGES[-1][1](spark, docs, sf_dir)
     assert last.count() == docs.count()
+
+
+def test_near_copies_keep_distinct_texts_of_one_id(spark):
+    """An id with two unrelated texts and a copy of one under another id: both texts stay."""
+    one, two = "the quick brown fox jumps over a lazy dog", "nothing here is like the other text at all"
+    docs = docs_frame(spark, [(5, one), (5, two), (9, one), (9, one), (None, two), (None, "a third text of its own")])
+    kept = collections.Counter((r.doc_id, r.text) for r in simhash_golay.deduplicate(docs).collect())
+    assert kept == {(5, one): 1, (5, two): 1, (None, "a third text of its own"): 1}
+
+
+def test_pipeline_stages_on_odd_rows(spark, odd, none):
+    """Nulls, repeated and empty rows, columns named like results or like helpers of a stage."""
+    sf_dir = "/root/testdata/sf0.001"
+    clashing = odd
+    for name in ("predicted", "_i", "_row", "_clean", "_copies", "_text", "_near_id", "ids"):
+        clashing = clashing.withColumn(name, F.lit("kept"))
+    clashing = corpus_pipeline.materialise(clashing, "test-odd")
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, clashing, sf_dir)
+        assert out.columns == clashing.columns, name
+        rows = out.collect()
+        assert rows and all(r.score == "x" and r._i == r._clean == r.predicted == "kept" for r in rows), name
+        assert stage(spark, none, sf_dir).collect() == [], name
+    last = corpus_pipeline.STAGES[-1][1]
+    assert last(spark, clashing, sf_dir).count() == clashing.count()
+    assert last(spark, none, sf_dir).count() == 0
