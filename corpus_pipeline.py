@@ -10,6 +10,7 @@ columns are treated as the operators' docstrings say.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from sigmawatch.llm import apportion, bpe_fst, pii_anchors, simhash_golay, toxicity_fm
 from sigmawatch.llm.common import materialise, read_table
@@ -17,8 +18,10 @@ from sigmawatch.llm.common import materialise, read_table
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the factorization machine does not predict as toxic."""
-    scored = toxicity_fm.toxicity(docs, read_table(spark, sf_dir, "labels"))
-    return scored.filter("predicted = 0").select(*docs.columns)
+    # The columns wait in a struct: one of them may be named like a result.
+    rows = docs.select("doc_id", "text", F.struct(*docs.columns).alias("_row"))
+    scored = toxicity_fm.toxicity(rows, read_table(spark, sf_dir, "labels"))
+    return scored.filter("predicted = 0").select("_row.*")
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
