@@ -209,6 +209,20 @@ def test_sweep_keeps_a_stack_of_nested_rules():
 
 # ---- toxicity ---------------------------------------------------------------------------------
 
+def test_score_is_the_explicit_sum_over_pairs():
+    rng = np.random.default_rng(2)
+    buckets, held = 64, np.sort(rng.choice(64, 40, replace=False)).astype(np.int32)
+    machine = toxicity_fm.Machine(-0.3, held, rng.normal(size=40).astype(np.float32),
+                                  rng.normal(size=(40, 5)).astype(np.float32) / 4, buckets)
+    w, v = machine.dense()
+    rows = [np.sort(rng.choice(64, n, replace=False)).astype(np.int32) for n in (0, 1, 2, 9, 30)]
+    got = toxicity_fm.score_rows(machine, w, v, rows)
+    for row, score in zip(rows, got, strict=True):
+        z = machine.bias + sum(float(w[i]) for i in row)
+        z += sum(float(np.dot(v[i].astype(float), v[j].astype(float))) for a, i in enumerate(row) for j in row[:a])
+        assert score == pytest.approx(1 / (1 + np.exp(-z)), rel=1e-9)
+
+
 def test_interactions_are_learned_where_weights_cannot():
     rng = np.random.default_rng(0)
     rows, labels = [], []
