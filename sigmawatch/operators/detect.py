@@ -52,18 +52,18 @@ def group_stats(base: DataFrame, group: list[str], value_col: str, method: str =
 
 
 def flag(base: DataFrame, stats: DataFrame, group: list[str], value_col: str, k: float,
-         stats_join: str = "auto", keep_all: bool = False) -> DataFrame:
+         stats_join: str = "auto", keep_all: bool = False, is_written: bool = False) -> DataFrame:
     """Readings of ``base`` with their group's statistics; only outliers unless ``keep_all``
-    (then an ``is_outlier`` column marks them)."""
+    (then an ``is_outlier`` column marks them). ``is_written``: see :func:`attach_stats`."""
     if keep_all:
-        joined = attach_stats(base, stats, group, stats_join)
+        joined = attach_stats(base, stats, group, stats_join, is_written=is_written)
         return joined.withColumn("is_outlier", is_outlier(value_col, k))
     # Only groups with an outlier meet their readings: a smaller table to measure, broadcast or
     # shuffle, and the other groups' readings are dropped at the join's probe. Those groups have
     # n >= 2 and hi > lo, so the range columns stay behind and each reading is tested only for
     # its deviation.
     candidates = stats.filter(group_can_flag(k)).drop(LO, HI)
-    return attach_stats(base, candidates, group, stats_join).filter(deviates(value_col, k))
+    return attach_stats(base, candidates, group, stats_join, is_written=is_written).filter(deviates(value_col, k))
 
 
 def detect(df: DataFrame, keys: str | Sequence[str], time_col: str, value_col: str,
@@ -102,12 +102,13 @@ def flag_counts(df: DataFrame, keys: str | Sequence[str], time_col: str, value_c
                 method: str = "incremental") -> DataFrame:
     """Per (keys, window): reading count and number of flagged readings (0 where none).
 
-    The statistics are computed once; the (few) flagged rows are counted per group and joined
-    back to them, so the readings are read twice and never shuffled for the counting.
+    The statistics are computed and written once; the (few) flagged rows are counted per group and
+    joined back to them, so the readings are read twice and never shuffled for the counting.
     """
     base, group = _prepare(df, keys, time_col, value_col, window, k)
     stats = written(group_stats(base, group, value_col, method), "group-stats")
-    flagged = (flag(base, stats, group, value_col, k)
+    flagged = (flag(base, stats, group, value_col, k, is_written=True)
                .groupBy(*group).agg(F.count(F.lit(1)).alias("n_flagged")))
-    out = attach_stats(stats.select(*group, N), flagged, group, how="left")
+    # Both sides have a row per group at most: nothing to measure or to write again.
+    out = attach_stats(stats.select(*group, N), flagged, group, "shuffle_merge", how="left")
     return out.select(*group, N, F.coalesce(F.col("n_flagged"), F.lit(0)).alias("n_flagged"))

@@ -16,16 +16,19 @@ from pyspark.sql import functions as F
 from ..functions.stats import (
     HI, LO, M2, MEAN, N, STDDEV, WINDOW_END, WINDOW_START, merged_moments, tumbling_window,
 )
+from ..session import written
 from .windows import as_keys
 
 
 def merge_stats(stats: DataFrame, keys: str | Sequence[str], coarse_window: str) -> DataFrame:
     """Re-window fine statistics to ``coarse_window`` (a multiple of the fine size, epoch aligned).
 
-    Runs one small job over the statistics to find the fine windows' size and raises ``ValueError``
-    if they differ in size or the coarse size is not a multiple of it.
+    Writes the statistics once to the shared folder, finds the fine windows' size there and raises
+    ``ValueError`` if they differ in size or the coarse size is not a multiple of it.
     """
     ks = as_keys(keys)
+    # The check and the merge read what is written, so the readings are aggregated once.
+    stats = written(stats.select(*ks, WINDOW_START, WINDOW_END, N, MEAN, M2, LO, HI), "merge-fine")
     coarse = tumbling_window(WINDOW_START, coarse_window)
     micros = "timestampdiff(MICROSECOND, {}, {})".format
     sizes = stats.select(F.expr(micros(WINDOW_START, WINDOW_END)).alias("f"), coarse.alias("w"))
