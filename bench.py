@@ -23,8 +23,8 @@ from sigmawatch.session import local_session  # noqa: E402
 
 HEADLINE = [
     "anomalies_incremental", "anomalies_two_pass", "anomalies_weekly", "anomalies_by_user",
-    "anomalies_sigma2", "anomalies_hourly", "window_stats", "merge_stats", "constant_guard",
-    "anomaly_lines",
+    "anomalies_sigma2", "anomalies_6h", "window_stats", "merge_stats", "constant_guard",
+    "anomaly_lines", "anomalies_grid", "bucketed_archive", "stats_store",
     "readings_parse", "replay_backfill", "stream_anomalies", "stream_window_stats",
 ]
 
