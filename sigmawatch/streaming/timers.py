@@ -42,10 +42,9 @@ class WindowOutliers(StatefulProcessor):
         self.moments = handle.getValueState("moments", _MOMENTS)
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        end = int(key[self.n_keys])
-        if end <= timerValues.getCurrentWatermarkInMs():
+        end, known = int(key[self.n_keys]), self.moments.exists()
+        if not known and end <= timerValues.getCurrentWatermarkInMs():
             return  # late: the window has closed
-        known = self.moments.exists()
         n, mean, m2, lo, hi = self.moments.get() if known else (0, 0.0, 0.0, 0.0, 0.0)
         while piece := [tuple(r[c] for c in self.row.names) for r in islice(rows, APPEND_ROWS)]:
             self.readings.appendList(piece)
@@ -84,8 +83,9 @@ def detect_with_timers(readings: DataFrame, keys: str | Sequence[str], time_col:
                        delay: str = DEFAULT_DELAY) -> DataFrame:
     """Streaming detection by a stateful function; rows as :func:`detect_stream` gives them.
 
-    A reading is late if the watermark has reached its window's end, as there. Null keys are groups
-    like any other; a null value is no reading. ``window`` is in whole milliseconds.
+    A reading is late if the watermark has reached its window's end and the window holds no reading
+    that waits (one that does closes after this batch). Null keys are groups like any other; a null
+    value is no reading. ``window`` is in whole milliseconds.
     """
     if not readings.isStreaming:
         raise ValueError("batch input: use sigmawatch.operators.detect")

@@ -63,13 +63,14 @@ def test_late_rows_are_counted_over_more_than_a_hundred_batches(spark):
     src, out, ckpt = folders("in", "out", "ckpt")
     os.makedirs(src)
     batches, late = 110, 0
-    # Each file moves the watermark by a window; all but the first bring one reading of a closed one.
+    # Each file moves the watermark by a window; all but the first bring one reading of a window that
+    # the batch before has closed.
     for i in range(batches):
         now = START + dt.timedelta(minutes=10 * i)
-        lines = [f"a,{now},1.0,{i}"]
-        if i > 2:
+        lines = [f"a,{now.isoformat()},1.0,{i}"]
+        if i > 3:
             late += 1
-            lines.append(f"a,{now - dt.timedelta(minutes=30)},5.0,late {i}")
+            lines.append(f"a,{(now - dt.timedelta(minutes=40)).isoformat()},5.0,late {i}")
         with open(os.path.join(src, f"{i:04d}.csv"), "w") as f:
             f.write("\n".join(lines) + "\n")
         os.utime(os.path.join(src, f"{i:04d}.csv"), (1_700_000_000 + i, 1_700_000_000 + i))
