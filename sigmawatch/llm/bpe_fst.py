@@ -39,9 +39,9 @@ from .common import slices, strings
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 #: Transducer states, pair decisions and pre-tokens of a generation that a worker keeps.
-MAX_STATES = 100_000
-MAX_PAIRS = 150_000
-MAX_PIECES = 150_000
+MAX_STATES = 200_000
+MAX_PAIRS = 200_000
+MAX_PIECES = 100_000
 #: Seconds without a task after which a worker drops its encoders.
 IDLE_SECONDS = 2.0
 _NO_TOKEN = -1
