@@ -112,12 +112,15 @@ def _versions(docs: DataFrame) -> DataFrame:
 
 
 def _bucketed(df: DataFrame) -> DataFrame:
-    """``df`` in the shared folder, bucketed by ``_key``."""
+    """``df`` in the shared folder, bucketed by ``_key``. The catalog forgets the table's name at once;
+    its files stay."""
     spark = df.sparkSession
     name = f"iblt_{uuid.uuid4().hex[:12]}"
     (df.write.bucketBy(shuffle_partitions(spark), "_key")
      .option("path", scratch_path(spark, "iblt-versions")).saveAsTable(name))
-    return spark.table(name)
+    written = spark.table(name)
+    spark.sql(f"DROP TABLE {name}")
+    return written
 
 
 def _cells(digest: Column, salt: int, width: int) -> list[Column]:
