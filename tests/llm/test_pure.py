@@ -273,7 +273,10 @@ def test_the_model_is_a_probability_distribution():
         last = np.arange(len(z)) >= len(z) - model.code.length[int(d[-2]) * 256 + int(d[-1])]
         total += np.exp(-np.logaddexp(0, np.where(bit == 1, -z, z)[last].astype(float)).sum())
     assert total == pytest.approx(1.0, abs=1e-4)
-    assert model.score([b"the ca" + bytes((c,)) for c in range(1, 256)]).max() < 0
+    assert model.score([b"the ca" + bytes((c,)) for c in range(256)]).max() < 0
+    # A NUL byte is a byte like others, not the end of a text.
+    whole, cut_short, behind = model.score([b"the cat\x00sat", b"the cat", b"sat"])
+    assert whole < cut_short + behind - 0.1
 
 
 def test_units_are_cut_and_counted_exactly():

@@ -305,6 +305,8 @@ def test_language_model(spark, odd, none):
         assert r.base_score == pytest.approx(base) and r.train_tokens == total
         assert (r.n_tokens, r.n_known) == (len(w) + 1, sum(x in counts for x in w) + 1)
         assert r.score < 0
+        size = len(texts[r.doc_id].encode()) + 1
+        assert r.bits_per_byte == pytest.approx(-r.score * np.log2(10) / size)
     assert context_mixing.language_model(none).count() == 0
 
 
