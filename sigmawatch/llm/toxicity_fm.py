@@ -7,7 +7,11 @@ words, hashed to buckets. The score is
 
 over the terms present: ``w`` are additive weights, and the factors ``v`` give every pair of terms
 an interaction ``<v_i, v_j>`` (an insult together with a mention of a group), learned also for
-pairs never seen together. Fitted by mini-batch AdaGrad on a bounded sample of labelled rows.
+pairs never seen together. Fitted by mini-batch AdaGrad on a bounded sample of labelled rows. While
+fitting, a term counts by how far its share of toxic rows lies from chance, in standard deviations, so
+the many terms of a long text that happened to fall into few rows are not learned by heart. A term of
+many rows counts too, as its pairs may tell what it does not tell by itself. The fitted weights hold
+these factors, so scoring knows nothing of them.
 """
 
 from __future__ import annotations
@@ -26,8 +30,13 @@ from .common import materialise, slices, strings
 MAX_FIT_ROWS = 24_000
 BUCKETS = 1 << 20
 FACTORS = 4
-#: Buckets present in a smaller share of the fitted rows (or in one row) keep no weight.
-MIN_SHARE = 1 / 800
+#: Buckets present in fewer fitted rows keep no weight.
+MIN_ROWS = 3
+#: Standard deviations from chance, or rows, at which a term counts in full; the least and the most it
+#: counts.
+EVIDENCE = 10
+COMMON = 1_000
+LEAST, MOST = 0.05, 3.0
 EPOCHS = 12
 BATCH = 256
 RATE = 0.3
@@ -113,6 +122,14 @@ class Machine:
         return w, v
 
 
+def evidence(rows: np.ndarray, toxic: np.ndarray, rate: float) -> np.ndarray:
+    """How much terms count that are present in so many rows, so many of them toxic, where ``rate`` is
+    the share of toxic rows."""
+    away = np.abs(toxic - rows * rate) / np.sqrt(rows * rate * (1 - rate))
+    common = np.minimum(1, rows / COMMON)
+    return np.clip(np.maximum(away / EVIDENCE, common), LEAST, MOST).astype(np.float32)
+
+
 def fit(rows: list[np.ndarray], labels: np.ndarray, buckets: int = BUCKETS,
         seed: int = SEED) -> Machine:
     """Fit on the rows' term lists, in the given order; the result depends on nothing else."""
@@ -122,13 +139,15 @@ def fit(rows: list[np.ndarray], labels: np.ndarray, buckets: int = BUCKETS,
         return Machine(-30.0, none, none.astype(np.float32), np.empty((0, FACTORS), np.float32),
                        buckets)
     seen = np.bincount(np.concatenate([none, *rows]), minlength=buckets)
-    ids = np.flatnonzero(seen >= max(2, MIN_SHARE * n)).astype(np.int32)
+    ids = np.flatnonzero(seen >= MIN_ROWS).astype(np.int32)
     at = np.full(buckets, -1, np.int32)
     at[ids] = np.arange(len(ids), dtype=np.int32)
     rows = [x[x >= 0] for x in (at[r] for r in rows)]
     y = labels.astype(np.float32)
     rate = (y.sum() + 0.5) / (n + 1)
     bias = float(np.log(rate / (1 - rate)))
+    x = evidence(seen[ids], np.bincount(np.concatenate([none, *[r for r, t in zip(rows, y, strict=True) if t]]),
+                                        minlength=len(ids)), rate)
     rng = np.random.default_rng(seed)
     w = np.zeros(len(ids), np.float32)
     v = rng.normal(0, 0.01, (len(ids), FACTORS)).astype(np.float32)
@@ -141,13 +160,14 @@ def fit(rows: list[np.ndarray], labels: np.ndarray, buckets: int = BUCKETS,
             sizes = np.array([len(x) for x in lists])
             idx = np.concatenate(lists)
             row = np.repeat(np.arange(len(part)), sizes)
-            vi = v[idx]
+            xi = x[idx]
+            vi = v[idx] * xi[:, None]
             sums = np.stack([np.bincount(row, vi[:, f], len(part)) for f in range(FACTORS)], 1)
             squares = np.bincount(row, (vi * vi).sum(1), len(part))
-            z = bias + np.bincount(row, w[idx], len(part)) + 0.5 * ((sums ** 2).sum(1) - squares)
+            z = bias + np.bincount(row, w[idx] * xi, len(part)) + 0.5 * ((sums ** 2).sum(1) - squares)
             # Rows that are already far on the right side pull little; the mean over the batch.
             g = (1 / (1 + np.exp(-np.clip(z, -30, 30))) - y[part]).astype(np.float32)
-            each = g[row]
+            each = g[row] * xi
             used, where = np.unique(idx, return_inverse=True)
             dw = np.bincount(where, each, len(used)) + DECAY * w[used] * len(part)
             pull = each[:, None] * (sums.astype(np.float32)[row] - vi)
@@ -161,7 +181,7 @@ def fit(rows: list[np.ndarray], labels: np.ndarray, buckets: int = BUCKETS,
             db = float(g.sum())
             gb += db * db
             bias -= RATE * db / gb ** 0.5
-    return Machine(float(bias), ids, w, v, buckets)
+    return Machine(float(bias), ids, w * x, v * x[:, None], buckets)
 
 
 def score_rows(machine: Machine, w: np.ndarray, v: np.ndarray, rows: list[np.ndarray]) -> np.ndarray:

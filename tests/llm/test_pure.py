@@ -246,6 +246,31 @@ def test_nothing_to_fit_on():
     assert toxicity_fm.score_rows(machine, *machine.dense(), [np.array([5], np.int32)])[0] < 1e-6
 
 
+def test_few_long_rows_are_not_learned_by_heart():
+    rng = np.random.default_rng(11)
+
+    def text(toxic):
+        # 300 of 40,000 harmless terms, one of ten insults in a toxic row.
+        some = rng.choice(np.arange(100, 40_100), 300, replace=False)
+        return np.sort(np.append(some, rng.choice(10, 3, replace=False) if toxic else 50)).astype(np.int32)
+
+    labels = rng.random(1200) < 0.1
+    rows = [text(t) for t in labels]
+    machine = toxicity_fm.fit(rows[:900], labels[:900].astype(int), 1 << 16)
+    scores = toxicity_fm.score_rows(machine, *machine.dense(), rows[900:])
+    assert (scores[labels[900:]] >= 0.3).mean() >= 0.9 and (scores[~labels[900:]] >= 0.3).mean() <= 0.01
+
+
+def test_rare_terms_have_a_weight_whatever_the_sample():
+    rows = [np.array([1, 2], np.int32)] * 5000 + [np.array([1, 3], np.int32)] * 3 + [np.array([4], np.int32)] * 2
+    machine = toxicity_fm.fit(rows, np.array([0] * 5000 + [1] * 5), 64)
+    assert machine.ids.tolist() == [1, 2, 3]  # not the term of two rows
+    x = toxicity_fm.evidence(np.array([10, 5000, 3]), np.array([1, 500, 3]), 0.1)
+    assert x[0] == np.float32(toxicity_fm.LEAST) and x[1] == 1 and 0.5 < x[2] < toxicity_fm.MOST
+    a, b = toxicity_fm.score_rows(machine, *machine.dense(), [np.array([1, 3]), np.array([1, 2])])
+    assert a > 10 * b
+
+
 # ---- context mixing ---------------------------------------------------------------------------
 
 def small_model(texts):
