@@ -12,9 +12,9 @@ probability of a text is the sum over all decisions, the one that ends the text
 Contexts run through the whole text, across its words, and begin anew only with the next text. Texts
 are counted and scored in pieces of bounded size; what a text has behind it goes from piece to
 piece. Each task counts its texts into tables of its own, which are added up by slot. Weights and
-refinement are fitted online on a share of the training texts, whole ones, against the counts of the
-others: each task fits on its part, and the tasks' results are averaged by what they saw. Scoring
-uses the fitted model as it is, so a text's score depends on nothing but the text.
+refinement are fitted online on all training texts, whole ones, each half of them against the counts
+of the other: each task fits on its part, and the tasks' results are averaged by what they saw.
+Scoring uses the fitted model as it is, so a text's score depends on nothing but the text.
 
 The base score is a unigram over words with add-one smoothing. Counts are exact: frequent words come
 with a table of bounded size, the rest through a join.
@@ -26,7 +26,7 @@ import heapq
 import math
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
-from itertools import chain, groupby
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -35,7 +35,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialise, slices, strings
+from .common import materialise, shuffle_partitions, slices, strings
 
 #: log2 of the slots of each predictor's table.
 SLOT_BITS = (16, 18, 20, 20, 22, 21)
@@ -47,12 +47,14 @@ SEEN = (1, 4, 20)
 GATES = DEPTHS * (len(SEEN) + 1) ** 3
 #: Steps of a table entry for a unit of log-odds.
 FINE = 256
-#: One training text in so many is fitted on, more (up to one in FIT_MOST) while these are fewer than
-#: FIT_ROWS; a fitting task has about FIT_ROWS of them.
+#: Training texts are fitted half by half, each against the counts of the other.
+HALVES = 2
+#: A fitting task has at least so many texts, where there are as many.
+FIT_ROWS = 2_000
+FIT_STEP = 8_192
+#: Shares of :func:`fit_sample`.
 FIT_PARTS = 32
 FIT_MOST = 4
-FIT_ROWS = 2_000
-FIT_STEP = 2_048
 RATE = 0.02
 REFINE_BINS = 65
 REFINE_LIMIT = 8.0
@@ -70,6 +72,7 @@ _END_BYTE = 255  # ends a text; no UTF-8 text holds it
 _LN10 = float(np.log(10))
 _MULTIPLY = np.uint64(0x9E3779B97F4A7C15)
 _SALT = np.uint64(0xD6E8FEB86659FD93)
+_SALT32 = np.uint32(0xD6E8FEB9)
 #: A random factor for each place in a unit.
 _PLACES = np.random.default_rng(5).integers(1, 1 << 63, LONGEST, np.uint64) * np.uint64(2) + np.uint64(1)
 _SPACE = np.isin(np.arange(256), [9, 10, 11, 12, 13, 32])
@@ -113,8 +116,8 @@ class Code:
 
     def __post_init__(self) -> None:
         before = np.repeat(np.arange(1 << 16) >> 8, self.length)
-        self.first = before * 256 + self.node // REFINE_BINS  # slot behind the byte before alone
-        self.salt = (self.first + 1).astype(np.uint64) * _SALT
+        # Slot behind the byte before alone (before * 256 + node) and the bit, in one number.
+        self.steps = ((before * 256 + self.node // REFINE_BINS) * 2 + self.bit).astype(np.int32)
 
     @staticmethod
     def build(counts: np.ndarray) -> Code:
@@ -308,16 +311,25 @@ def decisions(data: np.ndarray, fresh: np.ndarray, code: Code, behind: Behind |
     pos = np.repeat(np.arange(len(data)), sizes)
     place = (code.start.take(pair) - first).take(pos)
     place += np.arange(len(pos))
-    salt = code.salt.take(place)
-    slots = [code.first.take(place)]
+    steps = code.steps.take(place)
+    bit = steps & 1
+    steps >>= 1
+    slots = [steps]
+    salt = (steps + 1).view(np.uint32) * _SALT32
     for c, bits in zip(ctx[1:], SLOT_BITS[1:], strict=True):
-        h = (c * _MULTIPLY).take(pos)
-        h ^= h >> np.uint64(32)
+        # A context is hashed once a byte; its decisions lie apart by their salts.
+        c = c * _MULTIPLY
+        c ^= c >> np.uint64(32)
+        c *= _MULTIPLY
+        c >>= np.uint64(32)
+        h = c.astype(np.uint32).take(pos)
         h += salt
-        h *= _MULTIPLY
-        h >>= np.uint64(64 - bits)
-        slots.append(h.view(np.int64))
-    return code.node.take(place), code.bit.take(place), slots, np.minimum(depth, DEPTHS - 1).take(pos), first[fresh]
+        h >>= np.uint32(32 - bits)
+        slots.append(h)
+    depth = np.minimum(depth, DEPTHS - 1).astype(np.int16)
+    node = steps & 255
+    node *= REFINE_BINS
+    return node, bit, slots, depth.take(pos), first[fresh]
 
 
 def entries(zeros: np.ndarray, ones: np.ndarray) -> np.ndarray:
@@ -338,21 +350,23 @@ class Model:
     def _inputs(self, slots, depth) -> tuple[list[np.ndarray], np.ndarray]:
         """The predictors' log-odds and the gate of each decision."""
         found = [t.take(s) for t, s in zip(self.tables, slots, strict=True)]
-        gate = depth * 4
-        gate += found[-1] & 3
-        for f in found[-2:-4:-1]:
-            gate *= 4
+        gate = depth.astype(np.int16)
+        for f in found[-1:-4:-1]:
+            gate <<= 2
             gate += f & 3
         x = [(f >> 2).astype(np.float32) for f in found]
         for v in x:
             v *= np.float32(1 / FINE)
-        return x, gate
+        return x, gate.astype(np.intp)
 
     def _sum(self, x, gate) -> np.ndarray:
         """The mixed log-odds."""
-        z = (self.weights[:, -1] * np.float32(0.3)).take(gate)
-        for j, v in enumerate(x):
-            z += v * np.ascontiguousarray(self.weights[:, j]).take(gate)
+        columns = self.weights.T.copy()
+        z = (columns[-1] * np.float32(0.3)).take(gate)
+        for v, w in zip(x, columns, strict=False):
+            w = w.take(gate)
+            w *= v
+            z += w
         return z
 
     def _bins(self, node, z) -> np.ndarray:
@@ -361,7 +375,7 @@ class Model:
         at = z * scale
         at += np.float32(REFINE_LIMIT * scale + 0.5)
         np.clip(at, np.float32(0), np.float32(REFINE_BINS - 1), out=at)
-        slot = at.astype(np.int64)
+        slot = at.astype(np.int32)
         slot += node
         return slot
 
@@ -393,28 +407,32 @@ class Model:
         """Online over slices of texts in their order: for each run of decisions predict, then
         move the weights of their gates (by steps that shrink with the gradients so far) and the
         refinement slots towards what happened. Returns the decisions of each gate and slot."""
-        rounds = np.zeros(self.refine.size)
+        flat = self.refine.ravel()
+        rounds = np.zeros(flat.size)
         passed = np.zeros(GATES)
-        sizes = np.full(self.weights.shape, 1e-2)
+        sizes = np.full(self.weights.T.shape, 1e-2)
+        moves = np.zeros(sizes.shape)
         for data, fresh, _, behind in chain.from_iterable(runs(*joined(t)) for t in texts):
             node, bit, slots, depth, _ = decisions(data, fresh, self.code, behind)
+            inputs, gates = self._inputs(slots, depth)
+            hits = bit.astype(np.float32)
             for at in range(0, len(node), step):
                 part = slice(at, at + step)
-                x, gate = self._inputs([s[part] for s in slots], depth[part])
+                x, gate, y = [v[part] for v in inputs], gates[part], hits[part]
                 z = self._sum(x, gate)
                 passed += np.bincount(gate, minlength=GATES)
-                y = bit[part].astype(np.float32)
                 miss = y - 1 / (1 + np.exp(-np.clip(z, -20, 20)))
-                for j, v in enumerate([*x, np.full(len(z), 0.3, np.float32)]):
-                    move = np.bincount(gate, miss * v, GATES)
-                    sizes[:, j] += move * move
-                    self.weights[:, j] += (rate * move / np.sqrt(sizes[:, j])).astype(np.float32)
+                for j, v in enumerate(x):
+                    moves[j] = np.bincount(gate, miss * v, GATES)
+                moves[-1] = np.bincount(gate, miss * np.float32(0.3), GATES)
+                sizes += moves * moves
+                self.weights += (rate * moves / np.sqrt(sizes)).T.astype(np.float32)
                 slot = self._bins(node[part], z)
-                used, where = np.unique(slot, return_inverse=True)
-                n = np.bincount(where)
-                flat = self.refine.ravel()
+                n = np.bincount(slot, minlength=flat.size)
+                used = np.flatnonzero(n)
+                n = n[used]
                 p = 1 / (1 + np.exp(-flat[used]))
-                mean = np.bincount(where, y) / n
+                mean = np.bincount(slot, y, flat.size)[used] / n
                 rounds[used] += n
                 share = np.maximum(n / (rounds[used] + 20), 0.002)
                 p = np.clip(p + share * (mean - p), 1e-4, 1 - 1e-4)
@@ -434,10 +452,11 @@ def held_out(doc_id="doc_id", parts: int = 7, part: int = 2):
 
 
 _COUNTS = "kind int, block int, counts binary"
+_COUNTED_ROWS = "kind int, block int, counts binary, places binary, above binary"
 
 
 def _merge_blocks(counted: DataFrame) -> DataFrame:
-    """Sum (64 bits) of the count blocks (32 bits) of each (kind, block). A task sends a block once
+    """Sum (64 bits) of the count blocks of each (kind, block). A task sends a block once
     for every ``_COUNTED`` bytes, so a group has about as many rows as there are tasks, of bounded
     size; they are added as they come."""
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -449,12 +468,13 @@ def _merge_blocks(counted: DataFrame) -> DataFrame:
                  pa.array([total.tobytes()], pa.binary())], ["kind", "block", "counts"])
 
         for b in slices(batches, 64):
-            for kind, block, counts in zip(*[c.to_pylist() for c in b.columns], strict=True):
+            for kind, block, counts, places, above in zip(*[c.to_pylist() for c in b.columns], strict=True):
                 if (kind, block) != key:
                     if key is not None:
                         yield row()
-                    key, total = (kind, block), np.zeros(len(counts) // 4, np.int64)
-                total += np.frombuffer(counts, np.int32)
+                    key, total = (kind, block), np.zeros(len(counts), np.int64)
+                total += np.frombuffer(counts, np.uint8)
+                total[np.frombuffer(places, np.int32)] += np.frombuffer(above, np.int32)
         if key is not None:
             yield row()
 
@@ -483,9 +503,9 @@ def count_words(units: DataFrame) -> DataFrame:
 
 
 def _count_blocks(texts: DataFrame, shapes: list[tuple[int, ...]], block: int, make) -> DataFrame:
-    """Counts of the texts, added up over the tasks: ``make()`` gives a task its
-    ``add(tables, texts)``, which counts a slice into tables of ``shapes``; a row holds ``block``
-    columns of one of them."""
+    """Counts of the texts (``half``, ``text``), added up over the tasks: ``make()`` gives a task its
+    ``add(tables, texts)``, which counts a half's share of a slice into its rows of tables of
+    ``(halves * rows, slots)``, the ``shapes``; a row holds ``block`` columns of one of them."""
     def run(batches):
         add = make()
         tables, size = [np.zeros(s, np.int32) for s in shapes], 0
@@ -493,25 +513,38 @@ def _count_blocks(texts: DataFrame, shapes: list[tuple[int, ...]], block: int, m
         def rows():
             for kind, t in enumerate(tables):
                 for i in range(t.shape[1] // block):
-                    part = np.ascontiguousarray(t[:, i * block:(i + 1) * block])
+                    part = t[:, i * block:(i + 1) * block].ravel()
                     if part.any():
+                        # A byte a count; what is above 255 follows by place.
+                        many = np.flatnonzero(part > 255).astype(np.int32)
                         yield pa.RecordBatch.from_arrays(
                             [pa.array([kind], pa.int32()), pa.array([i], pa.int32()),
-                             pa.array([part.tobytes()])], ["kind", "block", "counts"])
+                             pa.array([np.minimum(part, 255).astype(np.uint8).tobytes()]),
+                             pa.array([many.tobytes()]), pa.array([(part[many] - 255).tobytes()])],
+                            ["kind", "block", "counts", "places", "above"])
 
         for b in slices(batches, 5_000, "text", _SLICE_BYTES):
-            found = [fold(t) for t in strings(b.column("text"))]
-            more = sum(map(len, found)) + len(found)
+            found = by_half(b)
+            more = sum(len(t) + 1 for _, texts in found for t in texts)
             if size + more > _COUNTED and size:
                 yield from rows()
                 for t in tables:
                     t[:] = 0
                 size = 0
-            add(tables, found)
+            for half, texts in found:
+                add([t[half * rows_of:(half + 1) * rows_of] for t in tables], texts)
             size += more
         yield from rows()
 
-    return _merge_blocks(texts.select("text").mapInArrow(run, _COUNTS))
+    rows_of = shapes[0][0] // HALVES
+    return _merge_blocks(texts.select("half", "text").mapInArrow(run, _COUNTED_ROWS))
+
+
+def by_half(b: pa.RecordBatch) -> list[tuple[int, list[bytes]]]:
+    """Folded texts of each half that a batch (``half``, ``text``) holds."""
+    halves, texts = b.column("half").to_pylist(), strings(b.column("text"))
+    found = ((h, [fold(t) for g, t in zip(halves, texts, strict=True) if g == h]) for h in range(HALVES))
+    return [(h, t) for h, t in found if t]
 
 
 def _count_pairs(texts: DataFrame) -> np.ndarray:
@@ -521,19 +554,19 @@ def _count_pairs(texts: DataFrame) -> np.ndarray:
             behind.tail[-1] = int(data[-1]) + 1
 
     total = np.zeros(1 << 16, np.int64)
-    for r in _count_blocks(texts, [(1, 1 << 16)], 1 << 16, lambda: add).collect():  # one row
-        total += np.frombuffer(r["counts"], np.int64)
+    for r in _count_blocks(texts, [(HALVES, 1 << 16)], 1 << 16, lambda: add).collect():  # one row
+        total += np.frombuffer(r["counts"], np.int64).reshape(HALVES, -1).sum(0)
     return total
 
 
 def _add(tables: list[np.ndarray], data: np.ndarray, fresh: np.ndarray, n: np.ndarray, code: Code,
          behind: Behind | None = None) -> None:
     """Add a piece's decisions to the predictors' counts, ``(bit, slot)``: each as often as its
-    beginning's ``n``."""
+    beginning's ``n``. The rows of a table are contiguous."""
     _, bit, slots, _, first = decisions(data, fresh, code, behind)
     times = np.repeat(n.astype(tables[0].dtype), np.diff(np.append(first, len(bit))))
     for t, s, bits in zip(tables, slots, SLOT_BITS, strict=True):
-        np.add.at(t.ravel(), s + (bit << bits), times)
+        np.add.at(t.ravel(), s + (bit.astype(np.int64) << bits), times)
 
 
 def add_texts(tables: list[np.ndarray], texts: list[bytes], code: Code) -> None:
@@ -554,7 +587,8 @@ def fitted(code: Code, tables: list[np.ndarray], sample: list[bytes]) -> Model:
 
 
 def fit_sample(docs: DataFrame, fit_rows: int = FIT_ROWS, seed: int = 11) -> tuple[DataFrame, DataFrame, int]:
-    """``(texts to fit on, the other texts, fitting tasks)`` of ``docs`` (``doc_id``, ``text``). A
+    """A share of the texts, for trials; :func:`train` fits on all of them instead. ``(texts to fit on,
+    the other texts, fitting tasks)`` of ``docs`` (``doc_id``, ``text``). A
     row's id and text decide, so the choice does not depend on order or partitions; rows that are
     equal in both are chosen together and dealt to tasks (``_task``) one by one."""
     rows = docs.count()
@@ -569,64 +603,73 @@ def fit_sample(docs: DataFrame, fit_rows: int = FIT_ROWS, seed: int = 11) -> tup
     return chosen, hashed.filter(~low).select("text"), tasks
 
 
+def halved(docs: DataFrame, seed: int = 11) -> DataFrame:
+    """``(half, text)``, a row per row of ``docs`` (``doc_id``, ``text``): id and text decide."""
+    h = F.xxhash64(F.lit(seed), F.col("doc_id").cast("string"), "text")
+    return docs.select(F.pmod(h, F.lit(HALVES)).cast("int").alias("half"), "text")
+
+
 def train(docs: DataFrame, fit_rows: int = FIT_ROWS, seed: int = 11) -> Model:
-    """Fit a model on the texts of ``docs`` (``doc_id``, ``text``): the tables on all of them."""
+    """Fit a model on the texts of ``docs`` (``doc_id``, ``text``): the tables on all of them, weights
+    and refinement on all of them too, each half against the counts of the other. A fitting task has
+    ``fit_rows`` texts at least, if there are as many."""
     spark = docs.sparkSession
-    code = Code.build(_count_pairs(docs))
+    texts = halved(docs, seed)
+    code = Code.build(_count_pairs(texts))
     held = spark.sparkContext.broadcast((code.length, code.start, code.node, code.bit))
-    size, kinds = 1 << BLOCK_BITS, len(SLOT_BITS)
-    chosen, others, tasks = fit_sample(docs, fit_rows, seed)
-    chosen = materialise(chosen, "cm-fit")
+    size = 1 << BLOCK_BITS
 
     def make():
         own = Code(*held.value)
-        return lambda tables, texts: add_texts(tables, texts, own)
+        return lambda tables, found: add_texts(tables, found, own)
 
-    shapes = [(2, 1 << bits) for bits in SLOT_BITS]
-    rest, mine = (materialise(_count_blocks(t, shapes, size, make), "cm-counts") for t in (others, chosen))
-    both = rest.join(mine.withColumnRenamed("counts", "own"), ["kind", "block"], "full")
+    counted = _count_blocks(texts, [(HALVES * 2, 1 << bits) for bits in SLOT_BITS], size, make)
 
     def table_blocks(batches):
         for b in slices(batches, 16):
-            out = []
-            for counts, own in zip(b.column("counts").to_pylist(), b.column("own").to_pylist(), strict=True):
-                part = [np.zeros(2 * size, np.int64) if c is None else np.frombuffer(c, np.int64)
-                        for c in (counts, own)]
-                out.append([entries(*t.reshape(2, size)).tobytes() for t in (part[0], part[0] + part[1])])
+            found = [np.frombuffer(c, np.int64).reshape(HALVES, 2, size) for c in b.column("counts").to_pylist()]
             yield pa.RecordBatch.from_arrays(
-                [b.column("kind"), b.column("block"), pa.array([x for x, _ in out], pa.binary()),
-                 pa.array([y for _, y in out], pa.binary())], ["kind", "block", "without", "counts"])
-
-    entry_rows = materialise(both.select("kind", "block", "counts", "own").mapInArrow(
-        table_blocks, "kind int, block int, without binary, counts binary"), "cm-tables")
-    without, tables = ([np.zeros(1 << bits, np.int16) for bits in SLOT_BITS] for _ in range(2))
-    # The whole model: 4 bytes a slot, a size fixed by SLOT_BITS.
+                [b.column("kind"), b.column("block"),
+                 # What a half is fitted against, half by half.
+                 pa.array([b"".join(entries(*(c.sum(0) - own)).tobytes() for own in c) for c in found], pa.binary()),
+                 pa.array([entries(*c.sum(0)).tobytes() for c in found], pa.binary())],
+                ["kind", "block", "others", "counts"])
+
+    entry_rows = materialise(counted.mapInArrow(
+        table_blocks, "kind int, block int, others binary, counts binary"), "cm-tables")
+    tables = [np.zeros(1 << bits, np.int16) for bits in SLOT_BITS]
+    others = [[np.zeros(1 << bits, np.int16) for bits in SLOT_BITS] for _ in range(HALVES)]
+    # The whole model: 2 bytes a slot and as many for each half, a size fixed by SLOT_BITS.
     for r in entry_rows.toLocalIterator():
         at = slice(r["block"] * size, (r["block"] + 1) * size)
-        without[r["kind"]][at] = np.frombuffer(r["without"], np.int16)
         tables[r["kind"]][at] = np.frombuffer(r["counts"], np.int16)
+        for t, part in zip(others, np.frombuffer(r["others"], np.int16).reshape(HALVES, size), strict=True):
+            t[r["kind"]][at] = part
     model = empty_model(code, tables)
-    held_tables = spark.sparkContext.broadcast(without)
+    held_tables = spark.sparkContext.broadcast(others)
 
     def fit_all(batches):
-        own = empty_model(Code(*held.value), held_tables.value)
-        # A task of this stage may hold several fitting tasks, one behind the other.
-        found = ((t, [fold(x) for x in strings(b.filter(pc.equal(b.column("_task"), t)).column("text"))])
-                 for b in slices(batches, 200, "text", _SLICE_BYTES)
-                 for t in np.unique(b.column("_task").to_numpy()).tolist())
-        for _, part in groupby(found, lambda x: x[0]):
-            own = empty_model(own.code, own.tables)
-            passed, rounds = own.fit(texts for _, texts in part)
+        own = empty_model(Code(*held.value), held_tables.value[0])
+
+        def found():
+            for b in slices(batches, 5_000, "text", _SLICE_BYTES):
+                for half, part in by_half(b):
+                    own.tables = held_tables.value[half]
+                    yield part
+
+        passed, rounds = own.fit(found())
+        if passed.any():
             arrays = [passed, own.weights * passed[:, None], rounds, own.refine.ravel() * rounds]
             yield pa.RecordBatch.from_arrays(
                 [pa.array([a.astype(np.float64).tobytes()], pa.binary()) for a in arrays],
                 ["passed", "weights", "rounds", "refine"])
 
-    parts_fitted = (chosen.select("_task", "_h", "_copy", "text").repartition(tasks, "_task")
-                    .sortWithinPartitions("_task", "_h", "_copy", "text")
+    # Dealt in turn, so equal rows do not meet in one task.
+    tasks = max(1, min(shuffle_partitions(spark), docs.count() // max(1, fit_rows)))
+    parts_fitted = (texts.repartition(tasks).sortWithinPartitions(F.xxhash64("text"), "text", "half")
                     .mapInArrow(fit_all, "passed binary, weights binary, rounds binary, refine binary"))
     sums = [np.zeros(GATES), np.zeros(model.weights.shape), np.zeros(model.refine.size), np.zeros(model.refine.size)]
-    # Rows of a fixed size, added up as they come.
+    # A row of a fixed size for each task, added up as they come.
     for r in materialise(parts_fitted, "cm-fitted").toLocalIterator():
         for total, name in zip(sums, ("passed", "weights", "rounds", "refine"), strict=True):
             total += np.frombuffer(r[name], np.float64).reshape(total.shape)

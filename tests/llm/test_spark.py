@@ -329,6 +329,44 @@ def test_language_model_is_fitted_on_whole_texts_of_a_growing_sample(spark):
     assert (model.weights != np.float32(0.25)).any()
 
 
+def test_language_model_is_fitted_on_every_training_text(spark, monkeypatch):
+    words = ["alpha", "beta", "gamma", "delta"]
+    rows = [(i, " ".join(words[(i + j) % 4] for j in range(i % 40)) + f" end{i}") for i in range(400)]
+    rows += [(7777, "the same text again")] * 300 + [(None, None), (None, "no id"), (8888, "")]
+    kept, write = {}, context_mixing.materialise
+
+    def keep(df, purpose):
+        kept[purpose] = write(df, purpose)
+        return kept[purpose]
+
+    monkeypatch.setattr(context_mixing, "materialise", keep)
+    model = context_mixing.train(spark.createDataFrame(rows, "doc_id long, text string").repartition(3), fit_rows=5)
+    texts = [context_mixing.fold(t or "") for _, t in rows]
+    want = 0
+    tables = [np.zeros((2, 1 << b), np.int64) for b in context_mixing.SLOT_BITS]
+    for data, fresh, _, behind in context_mixing.runs(*context_mixing.joined(texts)):
+        want += model.code.length[context_mixing.pairs(data, fresh, behind)].sum()
+        context_mixing.contexts(data, fresh, behind)
+    context_mixing.add_texts(tables, texts, model.code)
+    passed = sum(np.frombuffer(r["passed"], np.float64).sum() for r in kept["cm-fitted"].collect())
+    assert passed == want
+    for got, counts in zip(model.tables, tables, strict=True):
+        assert (got == context_mixing.entries(*counts)).all()
+    # Each half is fitted against the other half's counts alone.
+    ours, whole = np.zeros((2, 1 << 16), np.int64), tables[0]
+    half = [r["half"] for r in context_mixing.halved(spark.createDataFrame(rows, "doc_id long, text string")).collect()]
+    assert 0 < sum(half) < len(rows)
+    mine = [t for t, h in zip(texts, half, strict=True) if h == 0]
+    for data, fresh, _, behind in context_mixing.runs(*context_mixing.joined(mine)):
+        _, bit, slots, _, _ = context_mixing.decisions(data, fresh, model.code, behind)
+        np.add.at(ours, (bit, slots[0]), 1)
+    block = next(r for r in kept["cm-tables"].collect() if (r["kind"], r["block"]) == (0, 0))
+    size = 1 << context_mixing.BLOCK_BITS
+    others = np.frombuffer(block["others"], np.int16).reshape(2, size)
+    assert (others[0] == context_mixing.entries(*(whole - ours)[:, :size])).all()
+    assert (others[1] == context_mixing.entries(*ours[:, :size])).all()
+
+
 def held(i):
     import zlib
     return zlib.crc32(str(i).encode()) % 7 == 2
