@@ -309,9 +309,10 @@ def decisions(data: np.ndarray, fresh: np.ndarray, code: Code, behind: Behind |
     ends = np.cumsum(sizes)
     first = ends - sizes
     pos = np.repeat(np.arange(len(data)), sizes)
-    place = (code.start.take(pair) - first).take(pos)
+    # All places lie in their arrays; mode "clip" spares a second look at them.
+    place = (code.start.take(pair) - first).take(pos, mode="clip")
     place += np.arange(len(pos))
-    steps = code.steps.take(place)
+    steps = code.steps.take(place, mode="clip")
     bit = steps & 1
     steps >>= 1
     slots = [steps]
@@ -322,14 +323,14 @@ def decisions(data: np.ndarray, fresh: np.ndarray, code: Code, behind: Behind |
         c ^= c >> np.uint64(32)
         c *= _MULTIPLY
         c >>= np.uint64(32)
-        h = c.astype(np.uint32).take(pos)
+        h = c.astype(np.uint32).take(pos, mode="clip")
         h += salt
         h >>= np.uint32(32 - bits)
         slots.append(h)
     depth = np.minimum(depth, DEPTHS - 1).astype(np.int16)
     node = steps & 255
     node *= REFINE_BINS
-    return node, bit, slots, depth.take(pos), first[fresh]
+    return node, bit, slots, depth.take(pos, mode="clip"), first[fresh]
 
 
 def entries(zeros: np.ndarray, ones: np.ndarray) -> np.ndarray:
@@ -349,7 +350,7 @@ class Model:
 
     def _inputs(self, slots, depth) -> tuple[list[np.ndarray], np.ndarray]:
         """The predictors' log-odds and the gate of each decision."""
-        found = [t.take(s) for t, s in zip(self.tables, slots, strict=True)]
+        found = [t.take(s, mode="clip") for t, s in zip(self.tables, slots, strict=True)]
         gate = depth.astype(np.int16)
         for f in found[-1:-4:-1]:
             gate <<= 2
@@ -362,9 +363,9 @@ class Model:
     def _sum(self, x, gate) -> np.ndarray:
         """The mixed log-odds."""
         columns = self.weights.T.copy()
-        z = (columns[-1] * np.float32(0.3)).take(gate)
+        z = (columns[-1] * np.float32(0.3)).take(gate, mode="clip")
         for v, w in zip(x, columns, strict=False):
-            w = w.take(gate)
+            w = w.take(gate, mode="clip")
             w *= v
             z += w
         return z
@@ -380,7 +381,7 @@ class Model:
         return slot
 
     def _final(self, node, z) -> np.ndarray:
-        out = self.refine.ravel().take(self._bins(node, z))
+        out = self.refine.ravel().take(self._bins(node, z), mode="clip")
         out += z
         out *= np.float32(0.5)
         return out
