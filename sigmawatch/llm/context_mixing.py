@@ -72,7 +72,6 @@ _END_BYTE = 255  # ends a text; no UTF-8 text holds it
 _LN10 = float(np.log(10))
 _MULTIPLY = np.uint64(0x9E3779B97F4A7C15)
 _SALT = np.uint64(0xD6E8FEB86659FD93)
-_SALT32 = np.uint32(0xD6E8FEB9)
 #: A random factor for each place in a unit.
 _PLACES = np.random.default_rng(5).integers(1, 1 << 63, LONGEST, np.uint64) * np.uint64(2) + np.uint64(1)
 _SPACE = np.isin(np.arange(256), [9, 10, 11, 12, 13, 32])
@@ -117,7 +116,7 @@ class Code:
     def __post_init__(self) -> None:
         before = np.repeat(np.arange(1 << 16) >> 8, self.length)
         # Slot behind the byte before alone (before * 256 + node) and the bit, in one number.
-        self.steps = ((before * 256 + self.node // REFINE_BINS) * 2 + self.bit).astype(np.int32)
+        self.steps = ((before * 256 + self.node // REFINE_BINS) * 2 + self.bit).astype(np.intp)
 
     @staticmethod
     def build(counts: np.ndarray) -> Code:
@@ -185,7 +184,10 @@ def distinct(texts: list[bytes]) -> tuple[Units, np.ndarray, np.ndarray]:
     del place, mixed
     for i in np.flatnonzero(lengths > LONGEST):
         h[i] = xxhash.xxh3_64_intdigest(data[starts[i]:starts[i] + lengths[i]].tobytes())
-    _, chosen, which = np.unique(h, return_index=True, return_inverse=True)
+    told = pa.array(h).dictionary_encode()
+    which = told.indices.to_numpy().astype(np.intp)
+    chosen = np.empty(len(told.dictionary), np.intp)
+    chosen[which[::-1]] = np.arange(len(which))[::-1]
     sizes = lengths[chosen]
     begin = np.cumsum(sizes) - sizes
     data = data.take(np.repeat(starts[chosen] - begin, sizes) + np.arange(sizes.sum()))
@@ -305,30 +307,38 @@ def decisions(data: np.ndarray, fresh: np.ndarray, code: Code, behind: Behind |
     depth; and the first decision behind each beginning."""
     pair = pairs(data, fresh, behind)
     ctx, depth = contexts(data, fresh, behind)
-    sizes = code.length.take(pair)
+    sizes, start = code.length.take(pair), code.start.take(pair)
     ends = np.cumsum(sizes)
     first = ends - sizes
-    pos = np.repeat(np.arange(len(data)), sizes)
+    # A decision's byte and its place in the code are running sums, as every byte has a decision.
+    pos = np.zeros(int(ends[-1]), np.intp)
+    pos[first[1:]] = 1
+    np.cumsum(pos, out=pos)
+    place = np.ones(len(pos), np.intp)
+    place[first] = start
+    place[first[1:]] -= (start + sizes)[:-1] - 1
+    np.cumsum(place, out=place)
     # All places lie in their arrays; mode "clip" spares a second look at them.
-    place = (code.start.take(pair) - first).take(pos, mode="clip")
-    place += np.arange(len(pos))
     steps = code.steps.take(place, mode="clip")
     bit = steps & 1
     steps >>= 1
+    node = steps & 255
+    # Nodes near the root have high numbers, so a context's first decisions lie side by side.
+    turn = 255 - node
     slots = [steps]
-    salt = (steps + 1).view(np.uint32) * _SALT32
+    before = (pair >> 8).astype(np.uint64)
+    before *= _SALT
     for c, bits in zip(ctx[1:], SLOT_BITS[1:], strict=True):
-        # A context is hashed once a byte; its decisions lie apart by their salts.
+        # A context is hashed once a byte, with the byte before; its decisions lie apart by their nodes.
         c = c * _MULTIPLY
+        c += before
         c ^= c >> np.uint64(32)
         c *= _MULTIPLY
-        c >>= np.uint64(32)
-        h = c.astype(np.uint32).take(pos, mode="clip")
-        h += salt
-        h >>= np.uint32(32 - bits)
+        c >>= np.uint64(64 - bits)
+        h = c.view(np.intp).take(pos, mode="clip")
+        h ^= turn
         slots.append(h)
     depth = np.minimum(depth, DEPTHS - 1).astype(np.int16)
-    node = steps & 255
     node *= REFINE_BINS
     return node, bit, slots, depth.take(pos, mode="clip"), first[fresh]
 
@@ -349,21 +359,20 @@ class Model:
     refine: np.ndarray   # (node, bin) log-odds
 
     def _inputs(self, slots, depth) -> tuple[list[np.ndarray], np.ndarray]:
-        """The predictors' log-odds and the gate of each decision."""
+        """The predictors' log-odds in steps of ``1 / FINE`` and the gate of each decision."""
         found = [t.take(s, mode="clip") for t, s in zip(self.tables, slots, strict=True)]
         gate = depth.astype(np.int16)
         for f in found[-1:-4:-1]:
             gate <<= 2
             gate += f & 3
-        x = [(f >> 2).astype(np.float32) for f in found]
-        for v in x:
-            v *= np.float32(1 / FINE)
-        return x, gate.astype(np.intp)
+        for f in found:
+            f >>= 2
+        return [f.astype(np.float32) for f in found], gate.astype(np.intp)
 
     def _sum(self, x, gate) -> np.ndarray:
         """The mixed log-odds."""
-        columns = self.weights.T.copy()
-        z = (columns[-1] * np.float32(0.3)).take(gate, mode="clip")
+        columns = self.weights.T * np.float32(1 / FINE)  # a power of two: exact
+        z = (self.weights[:, -1] * np.float32(0.3)).take(gate, mode="clip")
         for v, w in zip(x, columns, strict=False):
             w = w.take(gate, mode="clip")
             w *= v
@@ -409,6 +418,7 @@ class Model:
         move the weights of their gates (by steps that shrink with the gradients so far) and the
         refinement slots towards what happened. Returns the decisions of each gate and slot."""
         flat = self.refine.ravel()
+        chance = 1 / (1 + np.exp(-flat.astype(np.float64)))
         rounds = np.zeros(flat.size)
         passed = np.zeros(GATES)
         sizes = np.full(self.weights.T.shape, 1e-2)
@@ -417,27 +427,38 @@ class Model:
             node, bit, slots, depth, _ = decisions(data, fresh, self.code, behind)
             inputs, gates = self._inputs(slots, depth)
             hits = bit.astype(np.float32)
-            for at in range(0, len(node), step):
+            for at in range(0, len(hits), step):
                 part = slice(at, at + step)
                 x, gate, y = [v[part] for v in inputs], gates[part], hits[part]
                 z = self._sum(x, gate)
-                passed += np.bincount(gate, minlength=GATES)
-                miss = y - 1 / (1 + np.exp(-np.clip(z, -20, 20)))
+                slot = self._bins(node[part], z)
+                np.clip(z, np.float32(-20), np.float32(20), out=z)
+                np.negative(z, out=z)
+                np.exp(z, out=z)
+                z += np.float32(1)
+                np.reciprocal(z, out=z)
+                miss = np.subtract(y, z, out=z)
                 for j, v in enumerate(x):
-                    moves[j] = np.bincount(gate, miss * v, GATES)
-                moves[-1] = np.bincount(gate, miss * np.float32(0.3), GATES)
+                    v *= miss
+                    moves[j] = np.bincount(gate, v, GATES)
+                moves[:-1] /= FINE
+                miss *= np.float32(0.3)
+                moves[-1] = np.bincount(gate, miss, GATES)
                 sizes += moves * moves
                 self.weights += (rate * moves / np.sqrt(sizes)).T.astype(np.float32)
-                slot = self._bins(node[part], z)
                 n = np.bincount(slot, minlength=flat.size)
-                used = np.flatnonzero(n)
+                used = np.flatnonzero(n > 0)
                 n = n[used]
-                p = 1 / (1 + np.exp(-flat[used]))
+                p = chance[used]
                 mean = np.bincount(slot, y, flat.size)[used] / n
-                rounds[used] += n
-                share = np.maximum(n / (rounds[used] + 20), 0.002)
-                p = np.clip(p + share * (mean - p), 1e-4, 1 - 1e-4)
-                flat[used] = np.log(p / (1 - p))
+                seen = rounds[used] + n
+                rounds[used] = seen
+                share = np.maximum(n / (seen + 20), 0.002)
+                chance[used] = np.clip(p + share * (mean - p), 1e-4, 1 - 1e-4)
+            passed += np.bincount(gates, minlength=GATES)
+        # No step above looks at the refined log-odds.
+        used = rounds > 0
+        flat[used] = np.log(chance[used] / (1 - chance[used]))
         return passed, rounds
 
 
@@ -567,7 +588,7 @@ def _add(tables: list[np.ndarray], data: np.ndarray, fresh: np.ndarray, n: np.nd
     _, bit, slots, _, first = decisions(data, fresh, code, behind)
     times = np.repeat(n.astype(tables[0].dtype), np.diff(np.append(first, len(bit))))
     for t, s, bits in zip(tables, slots, SLOT_BITS, strict=True):
-        np.add.at(t.ravel(), s + (bit.astype(np.int64) << bits), times)
+        np.add.at(t.ravel(), s + (bit << bits), times)
 
 
 def add_texts(tables: list[np.ndarray], texts: list[bytes], code: Code) -> None:
@@ -694,7 +715,7 @@ def score(docs: DataFrame, model: Model, units: DataFrame, frequent: int = FREQU
     top = counts.orderBy(F.col("n").desc(), "word").limit(frequent)
     # At most `frequent` words and log10(c + 1) of them.
     table = [(bytes(r["word"]), math.log10(r["n"] + 1)) for r in top.toLocalIterator()]
-    table = (pa.array([w for w, _ in table], pa.binary()), np.array([x for _, x in table] + [math.nan]))
+    table = (pa.array([w for w, _ in table], pa.binary()), np.array([x for _, x in table]))
     held = spark.sparkContext.broadcast((
         model.code.length, model.code.start, model.code.node, model.code.bit,
         model.tables, model.weights, model.refine, table))
@@ -703,13 +724,14 @@ def score(docs: DataFrame, model: Model, units: DataFrame, frequent: int = FREQU
     def run(batches):
         length, start, node, bit, tables, weights, refine, (known_words, known_logs) = held.value
         own = Model(Code(length, start, node, bit), tables, weights, refine)
+        known = dict(zip(known_words.to_pylist(), known_logs.tolist(), strict=True))
         for b in slices(batches, 5_000, "text", _SLICE_BYTES):
             texts = [fold(t) for t in strings(b.column("text"))]
             found, which, first = distinct(texts)
             words = found.words()
             # 0 for no word, its logarithm for a frequent one, else not a number.
-            at = pc.index_in(words, value_set=known_words).fill_null(len(known_words))
-            logs = np.where(found.lengths > 1, known_logs.take(at.to_numpy()), 0.0)
+            logs = np.array([known.get(w, math.nan) for w in words.to_pylist()], np.float64)
+            logs[found.lengths == 1] = 0.0
             here = logs.take(which)
             missing = np.isnan(here)
             is_word = (found.lengths > 1).take(which)

@@ -376,6 +376,24 @@ def test_pieces_do_not_cut_contexts(monkeypatch):
     assert len(np.unique(whole[5, start:start + 1000])) == 1000
 
 
+def test_a_bytes_decisions_lie_side_by_side():
+    texts = [b"the cat sat on the mat", b"quick dogs jump"]
+    code = small_model(texts).code
+    data, starts = context_mixing.joined(texts)
+    node, _, slots, _, _ = context_mixing.decisions(data, starts, code)
+    pair = context_mixing.pairs(data, starts)
+    of = np.repeat(np.arange(len(data)), code.length[pair])
+    for s, bits in zip(slots, context_mixing.SLOT_BITS, strict=True):
+        assert s.min() >= 0 and s.max() < 1 << bits
+        # One stretch of the table for a byte, a slot of it for each of its nodes.
+        assert len(np.unique(of << 32 | s >> 8)) == len(data)
+        assert len(np.unique(of << 32 | s)) == len(node)
+    # The byte before is part of every context.
+    one, other = (context_mixing.decisions(np.frombuffer(t, np.uint8), np.array([0]), code)[2]
+                  for t in (b"a x", b"a\tx"))
+    assert all(p[-1] >> 8 != q[-1] >> 8 for p, q in zip(one, other, strict=True))
+
+
 # ---- graph search -----------------------------------------------------------------------------
 
 def test_graph_recall_and_duplicates():
